@@ -47,13 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark's cleaner then deletes the shuffle files of the step that is over
     return spark.read.schema(df.schema).parquet(path)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounds the memory of Arrow batches of texts, and lets shuffle files go when the step that wrote them is over."""
+    """Bounds the memory of Arrow batches of texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -4,8 +4,8 @@ A document links with another when their shingle sets have a Jaccard similarity
 T = percent of its n shingles are in the other one too, so at least one of any n - T + 1 is. Those are taken from the
 rarest shingles (the most frequent ones come last in a common order), which keeps lists short.
 
-1. Equal sets are one class. Frequencies of 32-bit shingle fingerprints are counted over all documents; only the at most
-   2**20 most frequent ones, a bounded table, are sent to all tasks and put last in the order of shingles.
+1. Equal sets are one class. Frequencies of 32-bit shingle fingerprints are counted over all documents; only the
+   FREQUENT most frequent ones, a bounded table, are sent to all tasks and put last in the order of shingles.
 2. Lists of classes by rare shingle; lists with one class go. Every pair that links shares a list that stays.
 3. Twice, classes meet by one of their shingles, in groups split to GROUP at most. Each is searched in an inverted index
    of the group's leaders (DivideSkip: the L longest lists are set apart, the short ones are merged by a heap, documents
@@ -38,6 +38,8 @@ from .common import LOWER, column, hash_spans, hash_windows, mix, prepare, slice
 from .components import connected
 
 WIDTH, PERCENT = 4, 85
+#: Fingerprints whose frequency is known to all tasks; they only order shingles.
+FREQUENT = 2**22
 #: Classes that meet in one group of a search, and postings of its index.
 GROUP, POSTINGS = 2_048, 1_000_000
 #: Rows up to which a table of class numbers is broadcast; a larger one is shuffled.
@@ -114,19 +116,22 @@ def _bits(docs: DataFrame) -> int:
 
 
 def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
-    """fp long, df long: at most 2**20 fingerprints (the first 32 bits of shingles), those with the most documents."""
+    """fp long, df long: at most FREQUENT fingerprints (the first 32 bits of shingles), those of each bucket with the most documents."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
 
         def out() -> pa.RecordBatch:
             fps, n = np.unique(np.concatenate(kept), return_counts=True)
-            fps, n = np.repeat(fps, (n + 254) // 255), np.concatenate([np.minimum(n, 255)]) if (n <= 255).all() else np.concatenate([[255] * (x // 255) + [x % 255] * bool(x % 255) for x in n])
+            pieces = (n + 254) // 255  # a byte for each count; larger ones take several
+            last = np.cumsum(pieces) - 1
+            counts = np.full(pieces.sum(), 255, np.uint8)
+            counts[last] = n - 255 * (pieces - 1)
+            fps = np.repeat(fps, pieces)
             bucket = fps >> np.uint32(32 - bits)
             edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             stops = np.r_[edges[1:], len(fps)]
             low = fps.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]  # the bucket has the rest
-            counts = n.astype(np.uint8)
             return pa.RecordBatch.from_arrays([pa.array(bucket[edges].astype(np.int32)), pa.array([low[a:b].tobytes() for a, b in zip(edges, stops, strict=True)], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in zip(edges, stops, strict=True)], pa.binary())], ["bucket", "fps", "counts"])
 
         for batch in batches:
@@ -146,7 +151,9 @@ def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
         fps = low[:, 0] + (low[:, 1].astype(np.int64) << 8) + (low[:, 2].astype(np.int64) << 16)
         fps, at = np.unique(fps, return_inverse=True)
         df = np.bincount(at, n).astype(np.int64)
-        keep = df >= max(64, n.sum() * 2**bits // 2**20)
+        most = FREQUENT >> bits
+        keep = np.flatnonzero(df > 1)
+        keep = np.sort(keep[np.lexsort((keep, -df[keep]))[:most]])
         # bits above the third byte are the bucket's; where both have a bit, they agree
         return pa.table({"fp": pa.array(fps[keep] | (np.int64(bucket) << (32 - bits))), "df": pa.array(df[keep])})
 
@@ -155,14 +162,14 @@ def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
 
 def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
     """id, n, key, prefix: the rarest shingles of which any partner has one, tiers: the logarithm of their frequency if frequent."""
-    shared = base.sparkSession.sparkContext.broadcast(hot)  # 2**20 numbers at most
+    shared = base.sparkSession.sparkContext.broadcast(hot)  # FREQUENT numbers at most
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fps, tiers = shared.value
         for batch in batches:
             n, keys, prefixes, tier_lists = [], [], [], []
             for s in shingle_sets(column(batch, "text"), width):
-                fp = (s >> np.uint64(32)).astype(np.int64)
+                fp = (s >> np.uint64(32)).astype(np.uint32)
                 at = np.minimum(np.searchsorted(fps, fp), max(0, len(fps) - 1))
                 tier = np.where(fps[at] == fp, tiers[at], 0) if len(fps) else np.zeros(len(s), np.int8)
                 order = np.lexsort((s, tier))[: len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0]
@@ -218,8 +225,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
-    found = frequent_fingerprints(base, _bits(docs), width).toPandas().sort_values("fp")  # 2**20 rows at most
-    hot = (found["fp"].to_numpy(np.int64), np.log2(np.maximum(1, found["df"].to_numpy(float))).astype(np.int8))
+    found = frequent_fingerprints(base, _bits(docs), width).toPandas().sort_values("fp")  # FREQUENT rows at most
+    hot = (found["fp"].to_numpy(np.uint32), np.log2(np.maximum(1, found["df"].to_numpy(float))).astype(np.int8))
 
     rows = stored(_prefixes(base, kind, hot, width, percent), "prefixes")
     classes = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max(F.struct("prefix", "tiers")).alias("p"))

@@ -116,7 +116,7 @@ def _bits(docs: DataFrame) -> int:
 
 
 def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
-    """fp long, df long: at most FREQUENT fingerprints (the first 32 bits of shingles), those of each bucket with the most documents."""
+    """bucket, fps (binary: sorted 32-bit numbers), tiers (binary: logarithms of their document frequency): at most FREQUENT fingerprints, the first 32 bits of shingles, those of each bucket with the most documents."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
@@ -155,13 +155,14 @@ def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
         keep = np.flatnonzero(df > 1)
         keep = np.sort(keep[np.lexsort((keep, -df[keep]))[:most]])
         # bits above the third byte are the bucket's; where both have a bit, they agree
-        return pa.table({"fp": pa.array(fps[keep] | (np.int64(bucket) << (32 - bits))), "df": pa.array(df[keep])})
+        fps = (fps[keep] | (np.int64(bucket) << (32 - bits))).astype("<u4")
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "fps": pa.array([fps.tobytes()], pa.binary()), "tiers": pa.array([np.log2(df[keep]).astype(np.int8).tobytes()], pa.binary())})
 
-    return base.select("text").mapInArrow(counted, "bucket int, fps binary, counts binary").groupBy("bucket").applyInArrow(frequent, "fp long, df long")
+    return base.select("text").mapInArrow(counted, "bucket int, fps binary, counts binary").groupBy("bucket").applyInArrow(frequent, "bucket int, fps binary, tiers binary")
 
 
 def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
-    """id, n, key, prefix: the rarest shingles of which any partner has one, tiers: the logarithm of their frequency if frequent."""
+    """id, mark (a hash of the text), n, key, prefix: the rarest shingles of which any partner has one, tiers: the logarithm of their frequency if frequent."""
     shared = base.sparkSession.sparkContext.broadcast(hot)  # FREQUENT numbers at most
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +178,9 @@ def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], wi
                 keys.append(set_key(s))
                 prefixes.append(s[order].view(np.int64))
                 tier_lists.append(tier[order].astype(np.int8))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(tier_lists, pa.list_(pa.int8()))], ["id", "n", "key", "prefix", "tiers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(tier_lists, pa.list_(pa.int8()))], ["id", "mark", "n", "key", "prefix", "tiers"])
 
-    return base.mapInArrow(made, f"id {kind}, n int, key binary, prefix array<long>, tiers array<tinyint>")
+    return base.select("id", F.xxhash64("text").alias("mark"), "text").mapInArrow(made, f"id {kind}, mark long, n int, key binary, prefix array<long>, tiers array<tinyint>")
 
 
 def _search_groups(sets: DataFrame, owner: str, percent: int) -> DataFrame:
@@ -221,12 +222,19 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """id, n_shingles, component_id."""
+    rows, labels = _join(docs, id_col, text_col, width, percent)
+    named = rows.join(labels, "key", "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
+    return named.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, mark, n, key), and labels (key, root, component_id) of the sets that several rows have or that link."""
     spark = prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
-    found = frequent_fingerprints(base, _bits(docs), width).toPandas().sort_values("fp")  # FREQUENT rows at most
-    hot = (found["fp"].to_numpy(np.uint32), np.log2(np.maximum(1, found["df"].to_numpy(float))).astype(np.int8))
+    found = sorted(frequent_fingerprints(base, _bits(docs), width).collect())  # FREQUENT numbers of 5 bytes at most
+    hot = (np.frombuffer(b"".join(r["fps"] for r in found), "<u4"), np.frombuffer(b"".join(r["tiers"] for r in found), np.int8))
 
     rows = stored(_prefixes(base, kind, hot, width, percent), "prefixes")
     classes = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max(F.struct("prefix", "tiers")).alias("p"))
@@ -255,8 +263,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     small = classes.select("c", "key", "id", "copies").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").where("copies > 1 or root is not null").select("key", "id", F.coalesce("root", "c").alias("root"))
     small = stored(small, "members")
     names = small.groupBy("root").agg(F.min("id").alias("component_id"))
-    labels = stored(small.join(names, "root").select("key", "component_id"), "labels")
-    return rows.select("id", "n", "key").join(labels, "key", "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+    return rows.select("id", "mark", "n", "key"), stored(small.join(names, "root").select("key", "root", "component_id"), "labels")
 
 
 def _sets_of(owners: DataFrame, base: DataFrame, width: int) -> DataFrame:
@@ -278,6 +285,19 @@ def _sets_of(owners: DataFrame, base: DataFrame, width: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component: the row whose id names it; of rows with an equal id and text, all columns compared, one."""
-    parts = jaccard_components(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("keep")).distinct()
-    return docs.join(parts, F.col(id_col).eqNullSafe(F.col("keep")), "left_semi")
+    """One document of each component, with all its columns: that with the smallest id (no id comes last), then text hash.
+
+    Documents without words stay. Rows that agree in id and text are one document.
+    """
+    rows, labels = _join(docs, id_col, text_col, WIDTH, PERCENT)
+    group = F.coalesce(F.col("root").cast("string"), F.hex("key"))
+    first = rows.where("n > 0").join(labels, "key", "left").groupBy(group.alias("g")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("first"))
+    chosen = stored(first.select("first.id", "first.mark").unionByName(rows.where("n = 0").select("id", "mark").distinct()), "chosen")
+    wanted = chosen.select(F.col("id").alias("_kept_id"), F.col("mark").alias("_kept_mark"))
+    if chosen.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    kept = docs.join(wanted, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (mark == F.col("_kept_mark")), "left_semi")
+    if rows.select("id", "mark").distinct().count() == rows.count():
+        return kept
+    return kept.dropDuplicates([id_col, text_col])

@@ -1,0 +1 @@
+"""Nothing streams: every operator of this engine is a batch operator."""

@@ -160,31 +160,31 @@ def char_ngrams(word: Column, n: int = 3) -> Column:
 #: Noise patterns of names and addresses.
 NAME_PATTERNS = {
     "non_ascii": r"[^\x00-\x7f]",
-    "has_digit": r"[0-9]",
-    "ocr_digit_in_word": r"[A-Za-z][0-9]+[A-Za-z]",
+    "has_digit": r"\d",
+    "ocr_digit_in_word": r"(?i)[a-z][018][a-z]|\b[018][a-z]{3,}",
     "ampersand": r"&",
-    "acronym_only": r"^[A-Z.]{2,8}$",
-    "domain_name": r"(?i)\.(com|net|org|in|co)\b|\bwww\b",
-    "alias_marker": r"(?i)\b(f/k/a|fka|d/b/a|dba|a/k/a|aka|formerly|t/a)\b",
-    "unusual_punct": r"[#*$%|<>@^~]",
-    "multi_space": r"  ",
+    "acronym_only": r"^[A-Z]{2,5}$",
+    "domain_name": r"(?i)\.(?:com|net|org|in|co|fr|biz|info)\b",
+    "alias_marker": r"(?i)\b(?:f/k/a|fka|d/b/a|dba|a/k/a|aka|formerly|t/a)\b",
+    "unusual_punct": r"[!?@*$%^_=+~|<>]",
+    "multi_space": r"\s{2,}",
     "lead_trail_space": r"^\s|\s$",
 }
 ADDR_PATTERNS = {
-    "empty": r"^$",
+    "empty": r"^\s*$",
     "non_ascii": r"[^\x00-\x7f]",
-    "has_digit": r"[0-9]",
-    "token_5digit": r"\b[0-9]{5}\b",
-    "token_6digit": r"\b[0-9]{6}\b",
-    "spaced_pin": r"\b[0-9]{3} [0-9]{3}\b",
-    "zip_plus4": r"\b[0-9]{5}-[0-9]{4}\b",
-    "starts_with_number": r"^[0-9]",
-    "hash_number": r"#[0-9]",
-    "zero_padded_number": r"\b0[0-9]+\b",
-    "landmark": r"(?i)\b(near|opp|opposite|behind|beside)\b",
-    "unit": r"(?i)\b(unit|apt|suite|flat|shop|floor)\b",
-    "po_box": r"(?i)\bp\.?o\.? box\b",
-    "null_literal": r"(?i)\bnull\b",
+    "has_digit": r"\d",
+    "token_5digit": r"(?<!\d)\d{5}(?!\d)",
+    "token_6digit": r"(?<!\d)\d{6}(?!\d)",
+    "spaced_pin_ddd_ddd": r"(?<!\d)\d{3} \d{3}(?!\d)",
+    "zip_plus4": r"\b\d{5}-\d{4}\b",
+    "starts_with_number": r"^\s*#?\s*\d",
+    "hash_number": r"#\s?\d",
+    "zero_padded_number": r"(?<![\d.])0\d+",
+    "landmark_marker": r"(?i)\b(?:near|opp|opposite|behind|beside|next to|nr|adj|adjacent)\b",
+    "unit_marker": r"(?i)\b(?:unit|apt|apartment|suite|ste|floor|flr|flat|fl)\b",
+    "po_box": r"(?i)\bp\.?\s?o\.?\s?box\b",
+    "null_literal": r"(?i)<null>|\bnull\b|\bn/a\b",
 }
 
 

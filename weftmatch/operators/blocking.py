@@ -19,7 +19,11 @@ RECORD = ["country", "code", "source"]
 
 def field_tokens(rec: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """One row for each occurrence of a token: fields maps a name to an expression of array<string>."""
-    parts = F.flatten(F.array(*(F.transform(c, lambda t, n=name: F.struct(F.lit(n).alias("field"), t.alias("token"))) for name, c in fields.items())))
+
+    def tagged(name: str, c: Column) -> Column:
+        return F.transform(c, lambda t: F.struct(F.lit(name).alias("field"), t.alias("token")))
+
+    parts = F.flatten(F.array(*(tagged(name, c) for name, c in fields.items())))
     return rec.select(*RECORD, F.explode(parts).alias("t")).select(*RECORD, "t.field", "t.token")
 
 

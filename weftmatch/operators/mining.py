@@ -13,7 +13,7 @@ def suffix_tokens(names: DataFrame, min_share: float = 0.003, min_last_ratio: fl
     """country, token of (country, toks): tokens that often end a name and are seldom elsewhere."""
     n = names.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     full = names.where(F.size("toks") > 0)
-    last = full.groupBy("country", F.element_at("toks", -1).alias("token")).agg(F.count(F.lit(1)).alias("last"))
+    last = full.groupBy("country", F.try_element_at("toks", F.lit(-1)).alias("token")).agg(F.count(F.lit(1)).alias("last"))
     anywhere = full.select("country", F.explode(F.array_distinct("toks")).alias("token")).groupBy("country", "token").agg(F.count(F.lit(1)).alias("anywhere"))
     joined = last.join(anywhere, ["country", "token"]).join(F.broadcast(n), "country")  # a row for each country
     return joined.where((F.col("last") / F.col("n") >= min_share) & (F.col("last") / F.col("anywhere") >= min_last_ratio)).select("country", "token")
@@ -32,7 +32,7 @@ def instability_tokens(pairs: DataFrame, min_share: float = 0.002, min_rate: flo
 def count_substitutions(pairs: DataFrame) -> DataFrame:
     """country, m, s, n: match token m for token s where sides differ by one token each."""
     diff = pairs.select("country", F.array_except("a_toks", "b_toks").alias("da"), F.array_except("b_toks", "a_toks").alias("db")).where("size(da) = 1 and size(db) = 1")
-    return diff.groupBy("country", F.element_at("db", 1).alias("m"), F.element_at("da", 1).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return diff.groupBy("country", F.try_element_at("db", F.lit(1)).alias("m"), F.try_element_at("da", F.lit(1)).alias("s")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def accept_substitutions(subs: DataFrame, min_count: int = 25, min_consistency: float = 0.5, min_ratio: float = 70.0) -> DataFrame:

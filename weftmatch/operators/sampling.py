@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def key_hash(key: Column, seed: int = 0) -> Column:
     """An order of keys by integer arithmetic that any SQL engine can repeat."""
-    return F.pmod(key * F.lit(2654435761) + F.lit(seed), F.lit(1_000_003))
+    return F.pmod(F.pmod(key, F.lit(1_000_003)) * F.lit(2654435761) + F.lit(seed), F.lit(1_000_003))
 
 
 def folds(entities: DataFrame, strata: list[str], key: str, n: int = 5, seed: int = 0) -> DataFrame:

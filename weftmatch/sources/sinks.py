@@ -70,12 +70,12 @@ def list_errors(lists: DataFrame, entities: DataFrame, known: DataFrame | None =
     rows = lists.select("entity", ids.alias("ids"))
     each = rows.select("entity", F.explode("ids").alias("id"))
     parts = {
-        "duplicate_entity": rows.groupBy("entity").count().where("count > 1").select(F.col("entity").alias("x")),
-        "duplicate_id": rows.where(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.col("entity").alias("x")),
+        "duplicate_entity": rows.groupBy("entity").count().where("count > 1").select(F.col("entity").cast("string").alias("x")),
+        "duplicate_id": rows.where(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.col("entity").cast("string").alias("x")),
         "self_match": each.where(F.col("id").startswith("S1-")).select(F.col("id").alias("x")),
         "bad_prefix": each.where(~F.col("id").rlike("^S[123]-")).select(F.col("id").alias("x")),
-        "missing_entity": entities.select("entity").distinct().join(rows, "entity", "left_anti").select(F.col("entity").alias("x")),
-        "extra_entity": rows.select("entity").distinct().join(entities, "entity", "left_anti").select(F.col("entity").alias("x")),
+        "missing_entity": entities.select("entity").distinct().join(rows, "entity", "left_anti").select(F.col("entity").cast("string").alias("x")),
+        "extra_entity": rows.select("entity").distinct().join(entities, "entity", "left_anti").select(F.col("entity").cast("string").alias("x")),
     }
     if known is not None:
         parts["unknown_id"] = each.where(F.col("id").rlike("^S[23]-")).select("id").distinct().join(known.select("id"), "id", "left_anti").select(F.col("id").alias("x"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows of one Arrow batch between the JVM and Python. Texts are long, so that the default of 10,000 rows is too much memory.
 BATCH_ROWS = 256
 #: Bytes of text that the vectorised functions work on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _folders: dict[str, str] = {}
 

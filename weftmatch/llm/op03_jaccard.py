@@ -7,11 +7,14 @@ rarest shingles (the most frequent ones come last in a common order), which keep
 1. Equal sets are one class. Frequencies of 32-bit shingle fingerprints are counted over all documents; only the
    FREQUENT most frequent ones, a bounded table, are sent to all tasks and put last in the order of shingles.
 2. Lists of classes by rare shingle; lists with one class go. Every pair that links shares a list that stays.
-3. Twice, classes meet by one of their shingles, in groups split to GROUP at most. Each is searched in an inverted index
-   of the group's leaders (DivideSkip: the L longest lists are set apart, the short ones are merged by a heap, documents
-   that occur T - L times are probed in the long lists by bisection); it joins the leaders it links with, or leads.
-4. Components of these links. Only pairs of classes that share a list and are in different components are left; all
-   of them are compared in full, whatever their number, so that no link between components is lost.
+3. Classes meet in blocks: those of the MEETINGS most frequent lists they are in. Large blocks are split by a hash of the
+   class, to about GROUP classes and POSTINGS shingles. A block is joined exactly by T-occurrence search in its inverted
+   index (DivideSkip: of the lists of a set's shingles the L longest are set apart, the short ones are merged, by a heap
+   or, when they are many, by counting; what occurs T - L times is probed in the long lists by binary search). Sets that
+   are connected already need no link between them.
+4. Components of these links. Pairs that share a list, but no block, and are in different components are left; all of
+   them are compared in full, whatever their number, so that no link between components is lost. Long lists are cut into
+   tiles of TILE classes, and pairs of tiles are looked at in parallel.
 5. Components of all links, and the smallest document id of each.
 
 Shingles are 64-bit hashes of their words; sets count as equal by a 128-bit sum of them.
@@ -25,7 +28,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -39,13 +41,15 @@ from .components import connected
 
 WIDTH, PERCENT = 4, 85
 #: Fingerprints whose frequency is known to all tasks; they only order shingles.
-FREQUENT = 2**22
-#: Classes that meet in one group of a search, and postings of its index.
-GROUP, POSTINGS = 2_048, 1_000_000
+FREQUENT = 2**24
+#: Classes, and shingles of theirs, that meet in one block.
+GROUP, POSTINGS, MEETINGS = 8_192, 3_000_000, 3
+#: Classes of a list of which all pairs are looked at in one task.
+TILE = 4_096
 #: Rows up to which a table of class numbers is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 2_000_000
-#: Weight of a probe against a step of the merge (DivideSkip).
-MU = 0.0085
+#: Weight of a probe against a step of the merge (DivideSkip), and postings up to which a heap merges them.
+MU, HEAP = 1.0, 64
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -72,41 +76,73 @@ def linked(overlap: int, n: int, m: int, percent: int = PERCENT) -> bool:
     return 100 * overlap >= percent * (n + m - overlap)
 
 
-class Leaders:
-    """An inverted index of shingle sets with T-occurrence search."""
-
-    def __init__(self, percent: int = PERCENT):
-        self.percent, self.lists, self.sizes, self.names, self.postings = percent, {}, [], [], 0
-
-    def add(self, name: int, tokens: list[int]) -> None:
-        i = len(self.sizes)
-        for t in tokens:
-            self.lists.setdefault(t, []).append(i)
-        self.sizes.append(len(tokens))
-        self.names.append(name)
-        self.postings += len(tokens)
-
-    def search(self, tokens: list[int]) -> list[int]:
-        """Names of the sets that link with the given one (DivideSkip)."""
-        n = len(tokens)
-        need = least_overlap(n, self.percent)
-        lists = [x for t in tokens if (x := self.lists.get(t)) is not None]
-        if len(lists) < need:
-            return []
-        lists.sort(key=len)
-        apart = min(need - 1, int(need / (MU * math.log2(1 + len(lists[-1])) + 1)))
-        short, long = lists[: len(lists) - apart], lists[len(lists) - apart :]
-        out = []
-        for i, same in groupby(heapq.merge(*short)):
-            count, m = sum(1 for _ in same), self.sizes[i]
-            if count < need - apart or 100 * min(n, m) < self.percent * max(n, m):
-                continue
-            for x in long:
-                k = bisect_left(x, i)
-                count += k < len(x) and x[k] == i
-            if linked(count, n, m, self.percent):
-                out.append(self.names[i])
-        return out
+class Block:
+    """Sets that meet, with their inverted index: tokens, where the list of each begins, and the sets in it."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.percent, self.sets = percent, sets
+        self.sizes = np.array([len(s) for s in sets])
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")  # keeps the sets of a list in order
+        self.tokens, first, rank = np.unique(tokens[order], return_index=True, return_inverse=True)
+        self.starts, self.postings = np.append(first, len(tokens)), owner[order]
+        self.keys = rank * np.int64(len(sets)) + self.postings  # sorted: for probes
+        self.root = list(range(len(sets)))
+
+    def find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = self.root[self.root[x]]
+            x = self.root[x]
+        return x
+
+    def search(self, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sets before q that reach the overlap that any partner of q has, and their overlaps (DivideSkip)."""
+        need = least_overlap(int(self.sizes[q]), self.percent)
+        at = np.searchsorted(self.tokens, self.sets[q])
+        length = self.starts[at + 1] - self.starts[at]
+        order = np.argsort(length, kind="stable")
+        apart = min(need - 1, int(need / (MU * math.log2(1 + int(length[order[-1]])) + 1)))
+        short, long = at[order[: len(at) - apart]], at[order[len(at) - apart :]]
+        total = int(length[order[: len(at) - apart]].sum())
+        if total <= HEAP:
+            merged = heapq.merge(*(self.postings[self.starts[t] : self.starts[t + 1]].tolist() for t in short))
+            found = [(i, n) for i, same in groupby(merged) if (n := sum(1 for _ in same)) >= need - apart and i < q]
+            sets, counts = np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], np.int64)
+        else:
+            lengths = self.starts[short + 1] - self.starts[short]
+            places = np.arange(total) + np.repeat(self.starts[short] - np.cumsum(lengths) + lengths, lengths)
+            counts = np.bincount(self.postings[places], minlength=q)[:q]
+            sets = np.flatnonzero(counts >= need - apart)
+            counts = counts[sets]
+        if len(sets) and apart:
+            wanted = (long * np.int64(len(self.sets)))[:, None] + sets[None, :]
+            place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            counts = counts + (self.keys[place] == wanted).sum(axis=0)
+        keep = counts >= need
+        return sets[keep], counts[keep]
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """Links that connect all sets that any links connect."""
+        last: dict[int, int] = {}  # the latest set of each component
+        for q in range(len(self.sets)):
+            for p in sorted(last.values(), reverse=True)[:2]:
+                if self.find(p) != self.find(q) and linked(len(np.intersect1d(self.sets[p], self.sets[q], assume_unique=True)), int(self.sizes[p]), int(self.sizes[q]), self.percent):
+                    yield self._unite(q, p, last)
+            if any(r != self.find(q) for r in last):
+                sets, counts = self.search(q)
+                good = 100 * counts >= self.percent * (self.sizes[q] + self.sizes[sets] - counts)
+                for p in sets[good].tolist():
+                    if self.find(p) != self.find(q):
+                        yield self._unite(q, p, last)
+            last[self.find(q)] = q
+
+    def _unite(self, q: int, p: int, last: dict[int, int]) -> tuple[int, int]:
+        a, b = self.find(q), self.find(p)
+        last.pop(a, None)
+        last.pop(b, None)
+        self.root[a] = b
+        last[b] = q
+        return q, p
 
 
 def _bits(docs: DataFrame) -> int:
@@ -138,7 +174,7 @@ def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
             for s in shingle_sets(column(batch, "text"), width):
                 kept.append((s >> np.uint64(32)).astype(np.uint32))
                 size += len(s)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 yield out()
                 kept, size = [], 0
         if size:
@@ -183,26 +219,83 @@ def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], wi
     return base.select("id", F.xxhash64("text").alias("mark"), "text").mapInArrow(made, f"id {kind}, mark long, n int, key binary, prefix array<long>, tiers array<tinyint>")
 
 
-def _search_groups(sets: DataFrame, owner: str, percent: int) -> DataFrame:
-    """a, b: classes and the leaders of their group that they link with."""
+def _join_blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links inside blocks (token and salt) that connect what any links connect."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, names, held = None, [], []
+
+        def out() -> pa.RecordBatch:
+            found = list(Block(held, percent).links()) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([names[q] for q, _ in found], pa.int64()), pa.array([names[p] for _, p in found], pa.int64())], ["a", "b"])
 
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, leaders = None, Leaders(percent)
         for batch in batches:
-            a, b = [], []
             for token, salt, c, tokens in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                if (token, salt) != at or leaders.postings > POSTINGS:
-                    at, leaders = (token, salt), Leaders(percent)
-                tokens = np.frombuffer(tokens, "<u8").tolist()
-                if found := leaders.search(tokens):
-                    a += [c] * len(found)
-                    b += found
-                else:
-                    leaders.add(c, tokens)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                if (token, salt) != at:
+                    if len(held) > 1:
+                        yield out()
+                    at, names, held = (token, salt), [], []
+                names.append(c)
+                held.append(np.frombuffer(tokens, "<u8"))
+        yield out()
+
+    grouped = sets.select(F.explode("blocks").alias("block"), "c", "tokens", "n").select("block.token", "block.salt", "c", "tokens", "n")
+    return grouped.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "c").drop("n").mapInArrow(joined, "a long, b long")
+
 
-    grouped = sets.select(F.col(f"{owner}.token").alias("token"), F.expr(f"pmod(xxhash64(c), cast(ceil({owner}.cnt / {GROUP}) as bigint))").alias("salt"), "c", "tokens", "n")
-    return grouped.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "c").drop("n").mapInArrow(searched, "a long, b long")
+def _blocks(lists: DataFrame) -> DataFrame:
+    """c, blocks: array of (token, salt), of the most frequent lists that each class is in."""
+    top = F.slice(F.sort_array(F.collect_list(F.struct("cnt", "token")), asc=False), 1, MEETINGS)  # no more than the class's prefix
+    chosen = stored(lists.groupBy("c").agg(top.alias("top"), F.max("n").alias("n")).select("c", "n", F.explode("top.token").alias("token")), "chosen")
+    parts = chosen.groupBy("token").agg(F.ceil(F.greatest(F.count(F.lit(1)) / GROUP, F.sum("n") / POSTINGS)).cast("long").alias("parts")).where("parts > 1")
+    salted = chosen.join(_small(stored(parts, "parts")), "token", "left").select("c", F.struct("token", F.pmod(F.xxhash64("c"), F.coalesce("parts", F.lit(1))).alias("salt")).alias("block"))
+    return salted.groupBy("c").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
+
+
+def _left_pairs(named: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of a list (c, n, root, blocks, token, cnt) that have met in no block, are in different components, and have sizes that allow a link."""
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def out() -> pa.RecordBatch:
+            rows = held if len({r[1] for r in held}) > 1 else []  # one component: nothing is left
+            c, root, n, tile = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
+            width = max((len(r[4]) for r in rows), default=0)
+            blocks = np.full((len(rows), width, 2), -1, np.int64)
+            for i, r in enumerate(rows):
+                for j, block in enumerate(r[4]):
+                    blocks[i, j] = block["token"], block["salt"]
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i in range(len(rows)):
+                ok = (root[i + 1 :] != root[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
+                if at[1] != at[2]:
+                    ok &= tile[i + 1 :] != tile[i]
+                later = np.flatnonzero(ok) + i + 1
+                for token, salt in blocks[i][: len(rows[i][4])]:
+                    later = later[~((blocks[later, :, 0] == token) & (blocks[later, :, 1] == salt)).any(axis=1)]
+                a.append(np.minimum(c[i], c[later]))
+                b.append(np.maximum(c[i], c[later]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+        for batch in batches:
+            for token, lo, hi, *row in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+                if (token, lo, hi) != at:
+                    if len(held) > 1:
+                        yield out()
+                    at, held = (token, lo, hi), []
+                held.append(row)
+        if len(held) > 1:
+            yield out()
+
+    tiles = F.ceil(F.col("cnt") / TILE)
+    tiled = named.withColumn("tile", F.pmod(F.xxhash64("c"), tiles)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+    tiled = tiled.select("token", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "c", "root", "n", "tile", "blocks")
+    return tiled.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi").mapInArrow(paired, "a long, b long")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -244,19 +337,16 @@ def _join(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int)
     lists = lists.withColumn("cnt", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("cnt > 1")
     lists = stored(lists, "lists")
 
-    owners = lists.groupBy("c").agg(F.min(F.struct("tier", "token", "cnt")).alias("first"), F.min(F.struct("tier", F.xxhash64("token").alias("turn"), "token", "cnt")).alias("second"))
-    owners = stored(owners.join(classes.select("c", "id", "key"), "c").select("c", "id", "key", "first", "second"), "owners")
+    owners = stored(_blocks(lists).join(classes.select("c", "id", "key"), "c").select("c", "id", "key", "blocks"), "owners")
     sets = stored(_sets_of(owners, base, width), "sets")
     if sets.count() > owners.count():  # rows repeated with their id
         sets = stored(sets.dropDuplicates(["c"]), "sets")
 
-    links = stored(_search_groups(sets, "first", percent).unionByName(_search_groups(sets, "second", percent)).distinct(), "near")
+    links = stored(_join_blocks(sets, percent).distinct(), "near")
     roots = connected(links)
-    named = stored(lists.select("token", "c", "n").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select("token", "c", "n", F.coalesce("root", "c").alias("root")), "named")
-    mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    left = named.join(mixed, "token", "left_semi")
-    x, y = (left.select("token", F.col("c").alias(k), F.col("n").alias(f"n_{k}"), F.col("root").alias(f"root_{k}")) for k in "ab")
-    pairs = x.join(y, "token").where(f"a < b and root_a <> root_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b").distinct()
+    marks = owners.select("c", "blocks").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select("c", "blocks", F.coalesce("root", "c").alias("root"))
+    named = lists.select("token", "c", "n", "cnt").join(_small(stored(marks, "marks")), "c")
+    pairs = _left_pairs(named, percent).distinct()
     more = stored(_compare(stored(pairs, "pairs"), sets, percent), "more")
 
     roots = connected(links.unionByName(more))
@@ -268,20 +358,17 @@ def _join(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int)
 
 def _sets_of(owners: DataFrame, base: DataFrame, width: int) -> DataFrame:
     """owners with n and tokens, the whole sets of their classes, from the text of the row with the class's id."""
-    wanted = owners.select("c", F.col("id").alias("own"), "key", "first", "second")
-    if owners.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    joined = base.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("text", "c", "key", "first", "second")
+    wanted = _small(owners.select("c", F.col("id").alias("own"), "key", "blocks"))
+    joined = base.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("text", "c", "key", "blocks")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(column(batch, "text"), width))
             keep = pa.array([set_key(s) == key for s, key in zip(sets, batch.column(2).to_pylist(), strict=True)], pa.bool_())
-            columns = [batch.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()), batch.column(3), batch.column(4)]
-            yield pa.RecordBatch.from_arrays(columns, ["c", "n", "tokens", "first", "second"]).filter(keep)
+            columns = [batch.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, ["c", "n", "tokens", "blocks"]).filter(keep)
 
-    types = {f.name: f.dataType.simpleString() for f in owners.schema.fields}
-    return joined.mapInArrow(made, f"c long, n int, tokens binary, first {types['first']}, second {types['second']}")
+    return joined.mapInArrow(made, "c long, n int, tokens binary, blocks array<struct<token: long, salt: long>>")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

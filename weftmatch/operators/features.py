@@ -38,7 +38,7 @@ def tokens_of(attrs: DataFrame) -> DataFrame:
 
 
 def char_weights(attrs: DataFrame, max_df: float = B.BLOCK_MAX_DF["name_char"]) -> DataFrame:
-    grams = F.flatten(F.transform(T.tokens(F.col("name_norm")), T.char_ngrams))
+    grams = F.flatten(F.transform(T.tokens(F.col("name_norm")), lambda w: T.char_ngrams(w)))
     return B.tfidf_weights(B.field_tokens(attrs, {"char": grams}), B.country_sizes(attrs), max_df)
 
 

@@ -489,15 +489,12 @@ def disjoint_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- models over labelled documents ----
 
-WORDS = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda t: t != ""))
-
-
 def _labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of labelled documents and the label y."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = F.greatest(F.lit(1), F.char_length("text")).cast("double")
     share = lambda pattern: F.char_length(F.regexp_replace("text", pattern, "")) / n
-    f = d.select("doc_id", WORDS.cast("double").alias("words"), share("[^A-Z]").alias("upper"), share(r"[A-Za-z\s]").alias("other"), share(r"[^#*$%&|<>]").alias("symbols"), (F.size(F.array_distinct(F.split("text", r"\s+"))) / F.greatest(F.lit(1), F.size(F.split("text", r"\s+")))).alias("distinct"))
+    f = d.select("doc_id", F.size(T.tokens(F.col("text"))).cast("double").alias("words"), share("[^A-Z]").alias("upper"), share(r"[A-Za-z\s]").alias("other"), share(r"[^#*$%&|<>]").alias("symbols"), (F.size(F.array_distinct(F.split("text", r"\s+"))) / F.greatest(F.lit(1), F.size(F.split("text", r"\s+")))).alias("distinct"))
     return f.join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y")), "doc_id")
 
 

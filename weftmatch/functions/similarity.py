@@ -12,8 +12,14 @@ from pyspark.sql.types import DoubleType
 
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, a machine word of the row at a time (bit-parallel)."""
+    start, stop = 0, 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    while stop < min(len(a), len(b)) - start and a[-1 - stop] == b[-1 - stop]:
+        stop += 1
+    a, b = a[start : len(a) - stop], b[start : len(b) - stop]  # what both begin and end with is common
     if not a or not b:
-        return 0
+        return start + stop
     masks: dict[str, int] = {}
     for i, ch in enumerate(a):
         masks[ch] = masks.get(ch, 0) | 1 << i
@@ -22,7 +28,7 @@ def lcs_length(a: str, b: str) -> int:
     for ch in b:
         hit = row & masks.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    return start + stop + len(a) - row.bit_count()
 
 
 def ratio(a: str, b: str) -> float:

@@ -26,11 +26,11 @@ LATIN_MORE = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l
 
 
 def fold_latin(c: Column) -> Column:
-    """Latin letters without their marks; other characters stay."""
-    c = F.translate(c, LATIN, LATIN_TO)
+    """Latin letters without their marks; other characters stay. Texts in ASCII are passed as they are."""
+    folded = F.translate(c, LATIN, LATIN_TO)
     for a, b in LATIN_MORE.items():
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+        folded = F.replace(folded, F.lit(a), F.lit(b))
+    return F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)
 
 
 def to_ascii(c: Column) -> Column:
@@ -59,7 +59,7 @@ def raw_tokens(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(c, r"\s+"), "")
 
 
 def joined(c: Column) -> Column:

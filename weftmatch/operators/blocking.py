@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import stored
+
 #: Blocks, their lists per query and their pruning.
 BLOCK_K = {"fielded": 30, "addr": 15, "name_char": 15, "name_word": 10}
 BLOCK_MAX_DF = {"fielded": 0.02, "addr": 0.02, "name_word": 0.02, "name_char": 0.01}
@@ -19,12 +21,8 @@ RECORD = ["country", "code", "source"]
 
 def field_tokens(rec: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """One row for each occurrence of a token: fields maps a name to an expression of array<string>."""
-
-    def tagged(name: str, c: Column) -> Column:
-        return F.transform(c, lambda t: F.struct(F.lit(name).alias("field"), t.alias("token")))
-
-    parts = F.flatten(F.array(*(tagged(name, c) for name, c in fields.items())))
-    return rec.select(*RECORD, F.explode(parts).alias("t")).select(*RECORD, "t.field", "t.token")
+    parts = F.array(*(F.struct(F.lit(name).alias("field"), c.alias("tokens")) for name, c in fields.items()))
+    return rec.select(*RECORD, F.explode(parts).alias("f")).select(*RECORD, F.col("f.field").alias("field"), F.explode("f.tokens").alias("token"))
 
 
 def country_sizes(rec: DataFrame) -> DataFrame:
@@ -37,7 +35,7 @@ def idf(df: Column, n: Column) -> Column:
 
 def tfidf_weights(tok: DataFrame, sizes: DataFrame, max_df: float = 0.02, min_df: int = 2, scale: dict[str, float] | None = None) -> DataFrame:
     """Unit vectors: (1 + ln tf) * idf of tokens in min_df records or more and at most max_df of the country's; scale: weights of fields, after which vectors are made unit again."""
-    tf = tok.groupBy(*RECORD, "field", "token").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stored(tok.groupBy(*RECORD, "field", "token").agg(F.count(F.lit(1)).alias("tf")), "tf")  # texts are read once
     df = tf.groupBy("country", "field", "token").agg(F.count(F.lit(1)).alias("df"))
     kept = df.join(F.broadcast(sizes), "country").where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n")))  # one row for each country
     w = tf.join(kept, ["country", "field", "token"]).withColumn("w", (1 + F.log("tf")) * idf(F.col("df"), F.col("n")))
@@ -69,6 +67,7 @@ def block_weights(tok: DataFrame, stats: DataFrame, fields: tuple[str, ...], max
 
 def topk(weights: DataFrame, k: int, min_score: float = 0.0, query_source: int = 1) -> DataFrame:
     """q, c, score, rank: for each record of the query source its k best records of other sources; ties by id."""
+    weights = stored(weights, "weights")  # read by both sides
     q = weights.where(F.col("source") == query_source).select("country", "field", "token", F.col("code").alias("q"), F.col("w").alias("wq"))
     c = weights.where(F.col("source") != query_source).select("country", "field", "token", F.col("code").alias("c"), F.col("w").alias("wc"))
     scored = q.join(c, ["country", "field", "token"]).groupBy("q", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("score")).where(F.col("score") > min_score)

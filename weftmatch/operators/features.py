@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 from . import blocking as B
+from ..sources.store import stored
 from .policy import context
 
 CONTEXT = ["fielded_cos", "name_char_cos", "addr_cos", "name_tset"]
@@ -53,8 +54,9 @@ def _common(a: Column, b: Column) -> Column:
 def build(cands: DataFrame, attrs: DataFrame, max_df: dict[str, float] | None = None) -> DataFrame:
     """s1, cand and the features of pairs (q, c, rank_<block>..., n_blocks)."""
     limits = {**B.BLOCK_MAX_DF, **(max_df or {})}
-    tok, sizes = tokens_of(attrs), B.country_sizes(attrs)
-    stats = B.field_statistics(tok, sizes)
+    attrs, cands = stored(attrs, "attributes"), stored(cands, "candidates")
+    tok, sizes = stored(tokens_of(attrs), "tokens"), B.country_sizes(attrs)
+    stats = stored(B.field_statistics(tok, sizes), "statistics")
     pairs = cands.select("q", "c")
 
     sums = B.shared_weight(pairs, tok, stats).groupBy("q", "c").agg(
@@ -63,7 +65,7 @@ def build(cands: DataFrame, attrs: DataFrame, max_df: dict[str, float] | None =
     )
     totals = tok.where(F.col("field").isin("core", "addr")).join(stats.select("country", "field", "token", "idf"), ["country", "field", "token"]).groupBy("code").agg(F.sum(F.when(F.col("field") == "core", F.col("idf"))).alias("core_total"), F.sum(F.when(F.col("field") == "addr", F.col("idf"))).alias("addr_total"))
     core_as_name = lambda d: d.where("field <> 'name'").withColumn("field", F.when(F.col("field") == "core", "name").otherwise(F.col("field")))
-    chars = char_weights(attrs, limits["name_char"])
+    chars = stored(char_weights(attrs, limits["name_char"]), "chars")
     cosines = {
         "fielded_cos": B.block_weights(core_as_name(tok), core_as_name(stats), B.BLOCK_FIELDS["fielded"], limits["fielded"]),
         "addr_cos": B.block_weights(tok, stats, B.BLOCK_FIELDS["addr"], limits["addr"]),
@@ -112,7 +114,7 @@ def build(cands: DataFrame, attrs: DataFrame, max_df: dict[str, float] | None =
         "b_is_s3": (b("source") == 3).cast("double"), "n_blocks": F.col("n_blocks").cast("double"), **{f"rank_{x}": rank(x) for x in B.BLOCK_K},
     }
     out = df.select(F.col("q").alias("s1"), F.col("c").alias("cand"), *(v.alias(k) for k, v in columns.items()))
-    out = context(out, CONTEXT, "s1")
+    out = stored(context(out, CONTEXT, "s1"), "features")  # before it is joined with itself
     return _top_consistency(out, attrs, chars)
 
 

@@ -14,6 +14,7 @@ from ..operators import mining as M
 from ..operators import model as L
 from ..operators import policy as P
 from ..operators import sampling as K
+from ..sources.store import stored
 from .records import REC, TOK, TRUTH, records, sql_tokens, sql_topk, sql_weights, table, tokens, truth
 
 Q: dict[str, object] = {}
@@ -84,7 +85,8 @@ BLOCKS = f"WITH {REC},{BTOK},{sql_block('fielded')},{sql_block('addr')},{sql_blo
 
 def _index(rec: DataFrame) -> tuple[DataFrame, DataFrame]:
     tok = B.field_tokens(rec, {"name": T.tokens(F.col("name_norm")), "addr": T.tokens(F.col("addr_norm")), "num": T.numbers(F.col("addr_raw"))})
-    return tok, B.field_statistics(tok, B.country_sizes(rec))
+    tok = stored(tok, "tokens")
+    return tok, stored(B.field_statistics(tok, B.country_sizes(rec)), "statistics")
 
 
 def _block(rec: DataFrame, name: str) -> DataFrame:
@@ -117,7 +119,7 @@ UNION = "u AS (" + " UNION ALL ".join(f"SELECT q, c, '{b}' AS block, rank FROM t
 
 
 def _candidates(rec: DataFrame) -> DataFrame:
-    return B.generate_candidates({b: _block(rec, b) for b in B.BLOCK_K})
+    return stored(B.generate_candidates({b: _block(rec, b) for b in B.BLOCK_K}), "candidates")
 
 
 @query(f"{BLOCKS},{UNION} SELECT * FROM cand")
@@ -173,7 +175,7 @@ def _entities(rec: DataFrame) -> DataFrame:
 
 
 def _pred(rec: DataFrame) -> DataFrame:
-    return _top(rec).select(F.col("q").alias("s1"), F.col("c").alias("cand"), F.round("score", 9).alias("score"))
+    return stored(_top(rec).select(F.col("q").alias("s1"), F.col("c").alias("cand"), F.round("score", 9).alias("score")), "top")
 
 
 def _table(rec: DataFrame) -> DataFrame:
@@ -357,7 +359,7 @@ def numeric_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = records(spark, sf_dir)
-    out = X.build(_candidates(rec), X.attributes(rec))
+    out = X.build(B.restrict(_candidates(rec), LIMITS), X.attributes(rec))
     return out.select("s1", "cand", *r6(*X.feature_columns(out)))
 
 

@@ -47,7 +47,8 @@ SYLLABLES = "an er in or th tion st re".split()
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """A small labelled table: url, label (1: block)."""
     names = GOOD + [a + b + c for a in SYLLABLES for b in SYLLABLES for c in SYLLABLES[:3]]
-    rows = [(f"{scheme}://{sub}{word}.example.{top}/{lang}/{100 + 7 * k}{end}", label) for label, group in ((1, BAD), (0, names)) for k, word in enumerate(group) for scheme, sub, top, lang, end in (("https", "", "com", "en", ""), ("http", "www.", "org", "fr", ".html"), ("https", "blog.", "net", "de", "/"), ("http", "m.", "org", "es", "?page=2&ref=x"))]
+    shapes = ["https://{w}.example.com/en/{n}", "http://www.{w}.example.org/fr/{n}.html", "https://blog.{w}.example.net/de/{n}/", "http://m.{w}.example.org/es/{n}?page=2&ref=x", "https://{w}.org/", "http://www.{w}.com/index.html"]
+    rows = [(shape.format(w=word, n=100 + 7 * k), label) for label, group in ((1, BAD), (0, names)) for k, word in enumerate(group) for shape in shapes]
     return spark.createDataFrame(rows, "url string, label int")
 
 
@@ -88,9 +89,11 @@ def _features(df: DataFrame) -> DataFrame:
 def train(labelled: DataFrame):
     """A fitted model, or None without urls of both kinds."""
     rows = labelled.where("url is not null and label in (0, 1)").orderBy(F.xxhash64("url"), "url", "label").limit(TRAIN_URLS).select(F.col("label").cast("double").alias("label"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    if rows.select("label").distinct().count() < 2:
+    shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    if len(shares) < 2:
         return None
-    return LogisticRegression(maxIter=50, regParam=0.01, featuresCol="features", labelCol="label").fit(_features(rows).coalesce(1))  # TRAIN_URLS rows at most
+    rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(shares[0.0] / shares[1.0])).otherwise(1.0))  # both kinds weigh the same
+    return LogisticRegression(maxIter=50, regParam=0.001, featuresCol="features", labelCol="label", weightCol="weight").fit(_features(rows).coalesce(1))  # TRAIN_URLS rows at most
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -147,7 +147,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs with a column edits, from rows (id, seq, position, deleted, inserted); edits of null ids are left out."""
-    lists = edits.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("position").cast("long"), F.col("deleted").cast("long"), "inserted"))), lambda e: F.struct(e["position"].alias("position"), e["deleted"].alias("deleted"), e["inserted"].alias("inserted"))).alias("edits"))
+    lists = edits.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("position").cast("long").alias("position"), F.col("deleted").cast("long").alias("deleted"), "inserted"))), lambda e: F.struct(e["position"].alias("position"), e["deleted"].alias("deleted"), e["inserted"].alias("inserted"))).alias("edits"))
     return docs.drop("edits").join(lists, id_col, "left")
 
 

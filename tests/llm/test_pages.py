@@ -21,6 +21,11 @@ PAGE = "<html><head><title>t</title><style>p{}</style></head><body><nav><li>menu
         ("<article></article>", ""),
         ("<article><table><tr><td>1<td>2</table>", "1\n2"),
         ("<article>a < b <!-- c --> d", "a < b d"),
+        ("<article>a</article><!-- b <p>c", "a"),
+        ("<p>a<!-- b", "a"),
+        ("a" + "<!--" * 50_000, "a"),
+        ('<a "' * 30_000, '<a "' * 30_000),
+        ("<b>" * 20_000 + "x" + "</i>" * 20_000, "x"),
     ],
 )
 def test_main_text(html, want):

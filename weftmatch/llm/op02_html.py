@@ -16,6 +16,7 @@ null ids stay rows of their own; unclosed elements end with their parent; other
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -57,21 +58,29 @@ def parse(html: str) -> Node:
     """The tree of a page; text is kept as it stands."""
     root = Node("#page", "")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()  # elements on the stack by name: an end tag of none of them costs no look at it
+    last = html.rfind(">") + 1  # no tag ends behind it
 
     def close(upto: int) -> None:
         while len(stack) > upto:
-            _hash(stack.pop())
+            node = stack.pop()
+            opened[node.tag] -= 1
+            _hash(node)
 
     search = _TAG.search
-    while m := search(html, at):
+    while m := search(html, at, last):
         if m.start() > at:
             stack[-1].children.append(html[at : m.start()])
         at = m.end()
+        if html.startswith("<!--", m.start()) and not html.endswith("-->", m.start(), at):
+            at = len(html)  # a comment without an end
         tag = m[2] or m[5]
         if not tag:
             continue
         tag = tag.lower()
         if m[1] or m[4]:
+            if not opened[tag]:
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     close(k)
@@ -96,8 +105,9 @@ def parse(html: str) -> Node:
         stack[-1].children.append(node)
         if tag not in _VOID and not node.attrs.rstrip().endswith("/") or tag in _BLOCK and tag != "hr":
             stack.append(node)
-    if at < len(html):
-        stack[-1].children.append(html[at:])
+            opened[tag] += 1
+    if rest := html[at:].split("<!--", 1)[0]:
+        stack[-1].children.append(rest)
     close(0)
     return root
 

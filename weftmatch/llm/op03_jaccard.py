@@ -197,9 +197,23 @@ def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
     return base.select("text").mapInArrow(counted, "bucket int, fps binary, counts binary").groupBy("bucket").applyInArrow(frequent, "bucket int, fps binary, tiers binary")
 
 
+def _collected(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """FREQUENT numbers of 5 bytes at most; each row is let go when its bytes are copied."""
+    rows = sorted(found.collect(), reverse=True)
+    n = sum(len(r["tiers"]) for r in rows)
+    fps, tiers, at = np.empty(n, "<u4"), np.empty(n, np.int8), 0
+    while rows:
+        r = rows.pop()
+        stop = at + len(r["tiers"])
+        fps[at:stop], tiers[at:stop] = np.frombuffer(r["fps"], "<u4"), np.frombuffer(r["tiers"], np.int8)
+        at = stop
+    return fps, tiers
+
+
 def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
     """id, mark (a hash of the text), n, key, prefix: the rarest shingles of which any partner has one, tiers: the logarithm of their frequency if frequent."""
     shared = base.sparkSession.sparkContext.broadcast(hot)  # FREQUENT numbers at most
+    del hot
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fps, tiers = shared.value
@@ -326,10 +340,7 @@ def _join(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int)
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
-    found = sorted(frequent_fingerprints(base, _bits(docs), width).collect())  # FREQUENT numbers of 5 bytes at most
-    hot = (np.frombuffer(b"".join(r["fps"] for r in found), "<u4"), np.frombuffer(b"".join(r["tiers"] for r in found), np.int8))
-
-    rows = stored(_prefixes(base, kind, hot, width, percent), "prefixes")
+    rows = stored(_prefixes(base, kind, _collected(frequent_fingerprints(base, _bits(docs), width)), width, percent), "prefixes")
     classes = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max(F.struct("prefix", "tiers")).alias("p"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("c"), "key", "id", "copies", "n", "p.prefix", "p.tiers"), "classes")
 

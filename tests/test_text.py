@@ -69,7 +69,7 @@ def test_char_ngrams(spark):
 def test_import_needs_no_session():
     import subprocess
     import sys
+    from pathlib import Path
 
-    from conftest import ROOT
-
-    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=ROOT, check=True)
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root, check=True)

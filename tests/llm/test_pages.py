@@ -43,6 +43,17 @@ def test_templates(spark):
     assert op02_html.extract(df.limit(0)).count() == 0
 
 
+def test_copies_are_no_template(spark):
+    """A host of which most rows are copies of one article: its text stays, what distinct pages share still goes."""
+    page = "<article><div><p>Subscribe today</p></div><h1>{0}</h1><p>Text of {0}</p><ul><li>point {0}</ul></article>"
+    copies = [(i, f"https://s.example/{i}", page.format("copy")) for i in range(30)] + [(100 + i, None, page.format("lost")) for i in range(12)]
+    others = [(200 + i, f"https://s.example/o{i}", page.format(i)) for i in range(12)]
+    df = spark.createDataFrame(copies + others, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op02_html.extract(df).collect()}
+    text = lambda x: f"{x}\nText of {x}\npoint {x}"
+    assert got == {i: text("copy") for i in range(30)} | {100 + i: f"Subscribe today\n{text('lost')}" for i in range(12)} | {200 + i: text(i) for i in range(12)}
+
+
 def test_archive(spark, tmp_path):
     big, small = "x" * 1500, "s" * 20
     rows = [(1, "u1", big), (2, "u2", big), (5, "u\r\nX: 1", big), (3, None, small), (4, "u4", small), (6, "u6", None), (7, "é", "é" * 500), (8, "é", "é" * 500), (None, "n", big)]

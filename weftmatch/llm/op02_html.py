@@ -1,7 +1,8 @@
 """Main text of web pages, with the templates of their sites removed.
 
 Every page is parsed to a tree. A first pass hashes the subtree of each block element and counts, for each host, the
-pages that have it; subtrees of at least TEMPLATE_PAGES pages and TEMPLATE_SHARE of the host's pages are its template. At
+distinct pages that have it (copies of one html count once, so that an article is no template of its own copies);
+subtrees of at least TEMPLATE_PAGES pages and TEMPLATE_SHARE of the host's distinct pages are its template. At
 most (subtrees of a page) / TEMPLATE_SHARE hashes can reach that share, so that the list of a host is short, however many
 pages it has. A second pass deletes template subtrees and elements that are no article text by their name or role, and
 writes the text of the rest.
@@ -220,11 +221,13 @@ def site_templates(pages: DataFrame) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sorted(subtrees(parse(h))) for h in column(batch, "html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["host", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "hashes"])
 
-    base = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    seen = base.mapInArrow(hashed, "host string, hashes array<long>").select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {TEMPLATE_PAGES}")
-    hosts = base.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    base = pages.select(host_of(F.col("url")).alias("host"), html.alias("html"), F.xxhash64(html).alias("page"))
+    distinct = base.mapInArrow(hashed, "host string, page long, hashes array<long>").dropDuplicates(["host", "page"])
+    seen = distinct.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {TEMPLATE_PAGES}")
+    hosts = base.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     return seen.join(hosts, "host").where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).select("host", "hash")
 
 

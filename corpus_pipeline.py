@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op06_decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    return op06_decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

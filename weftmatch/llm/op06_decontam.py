@@ -10,8 +10,10 @@ All of it is DataFrame operations. Lists are never gathered in a row: hot words
 by, a table that is bounded by the benchmark, and broadcast only when it is counted to be small.
 
 Defined results: a null or empty text has no words, no hits; an item without words has no windows; an item of fewer words
-than a window is one window; equal windows of several items count for each; a null item id is left out; documents with an
-equal id and text give equal rows; the list of no items is the empty text; other columns are ignored.
+than a window is one window; equal windows of several items count for each; documents with an equal id and text give equal
+rows; the list of no items is the empty text; other columns are ignored. With null_ids, as in the query and the pipeline,
+items with a null id are searched like all others: together they count as one item in n_items, and items_sha256 leaves them
+out, as in the SQL. Without it they are left out.
 """
 
 from __future__ import annotations
@@ -42,9 +44,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("key", F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.xxhash64("text")))
 
 
-def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id", text_col: str = "text", null_ids: bool = False) -> DataFrame:
     """item_id, window array<string>."""
-    cut = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(width)))
+    cut = (items if null_ids else items.where(F.col(id_col).isNotNull())).select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(width)))
     return cut.select("item_id", "w", "n", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("at")).select("item_id", F.slice("w", F.col("at"), F.col("n")).alias("window"))
 
 
@@ -92,10 +94,10 @@ def proximity_matches(index: DataFrame, queries: DataFrame, slop: int) -> DataFr
     return near.groupBy("qid", "key", "here").agg(F.count_distinct("term").alias("met")).join(sizes, "qid").where("met = n_terms").select("qid", "key", F.col("here").alias("pos"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, null_ids: bool = False) -> DataFrame:
     """id, n_words, n_hit, n_items, items_sha256, contaminated."""
     keyed = _keyed(docs, id_col, text_col)
-    cut = stored(item_windows(items, width), "cut")
+    cut = stored(item_windows(items, width, null_ids=null_ids), "cut")
     windows = stored(cut.select("window").distinct().select(F.monotonically_increasing_id().alias("wid"), "window"), "windows")
     matches = stored(exact_matches(keyed, windows), "matches")
 
@@ -115,10 +117,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, null_ids: bool = False) -> DataFrame:
     """The documents without a word that is hit, with all their columns."""
     keyed = _keyed(docs, id_col, text_col)
-    windows = stored(item_windows(items, width).select("window").distinct().select(F.monotonically_increasing_id().alias("wid"), "window"), "windows")
+    windows = stored(item_windows(items, width, null_ids=null_ids).select("window").distinct().select(F.monotonically_increasing_id().alias("wid"), "window"), "windows")
     dirty = stored(exact_matches(keyed, windows).select("key").distinct(), "dirty")
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     return docs.join(_small(dirty.select(F.col("key").alias("_dirty_key"))), key == F.col("_dirty_key"), "left_anti")

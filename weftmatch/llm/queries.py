@@ -38,7 +38,7 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op06_decontam.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return op06_decontam.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), null_ids=True)
 
 
 def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 import hashlib
 import math
-from collections import Counter
+import os
+import re
+from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import pytest
 
@@ -26,10 +29,11 @@ PAGE = "<html><head><title>t</title><style>p{}</style></head><body><nav><li>menu
         ("a" + "<!--" * 50_000, "a"),
         ('<a "' * 30_000, '<a "' * 30_000),
         ("<b>" * 20_000 + "x" + "</i>" * 20_000, "x"),
+        ("<article><h2 id='related-work'>Related</h2><div class='share-price'>9</div><p><math><mi>x</mi></math></p><div class='share-buttons'>Share</div></article>", "Related\n9\nx"),
     ],
 )
 def test_main_text(html, want):
-    assert op02_html.main_text(html) == want
+    assert op02_html.main_text(html) == (want, 0)
 
 
 def test_templates(spark):
@@ -54,6 +58,99 @@ def test_copies_are_no_template(spark):
     assert got == {i: text("copy") for i in range(30)} | {100 + i: f"Subscribe today\n{text('lost')}" for i in range(12)} | {200 + i: text(i) for i in range(12)}
 
 
+def nameless(i, story, menu="", note="Alpha line one of the house"):
+    """A page whose chrome has no tell-tale element or name."""
+    links = "".join(f"<li><a href='/{k}'>go {k}{menu}</a></li>" for k in range(1 + i % 4))
+    return f"<body><div class='k1'><ul>{links}</ul></div><div class='k2'>{story}</div><div class='k3'>{note}</div></body>"
+
+
+@pytest.mark.parametrize("limits", [{}, {"BROADCAST_HASHES": 0}])
+def test_templates_without_names(spark, monkeypatch, limits):
+    """Equal notices go by their text, menus by their shape and place; with lists by host and with lists by page."""
+    for k, v in limits.items():
+        monkeypatch.setattr(op02_html, k, v)
+    pages = [(i, "https://s.example/", nameless(i, f"<p>Story number {i} of the day</p><p>Second part {i}</p>", menu=f" w{i}")) for i in range(24)]
+    pages += [(100 + i, "https://small.example/", nameless(i, f"<p>Tale {i}</p>", menu=f" v{i}")) for i in range(2)]
+    framed = "<body><div class='q'>Buy {0} and {1}</div><article><p>Real {0}</p></article><section>More of {1}</section></body>"
+    pages += [(200 + i, "https://f.example/", framed.format(i, 7 * i + 1)) for i in range(4)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["text"], r["n_template"]) for r in op02_html.extract(df).collect()}
+    menu = lambda i, w: "".join(f"go {k} {w}{i}\n" for k in range(1 + i % 4))
+    want = {i: (f"Story number {i} of the day\nSecond part {i}", 2) for i in range(24)}
+    want |= {100 + i: (f"{menu(i, 'v')}Tale {i}\nAlpha line one of the house", 0) for i in range(2)}
+    want |= {200 + i: (f"Real {i}", 2) for i in range(4)}
+    assert got == want
+
+
+def test_near_copies_are_no_template(spark):
+    """Near copies of one article on a host share most blocks: all of their text stays."""
+    parts = [f"<p>Paragraph {k} of the copied piece</p>" for k in range(8)]
+    pages = [(i, "https://s.example/", "<article>" + "".join(parts[:i % 8] + [f"<p>Own line {i}</p>"] + parts[i % 8 + 1 :]) + "</article>") for i in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for r in op02_html.extract(df).collect():
+        assert r["text"] == "\n".join(f"Own line {r['page_id']}" if k == r["page_id"] % 8 else f"Paragraph {k} of the copied piece" for k in range(8))
+
+
+class Article(HTMLParser):
+    """The blocks of article elements, by the standard library's tokeniser."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.raw, self.blocks, self.line = 0, False, [], ""
+
+    def cut(self):
+        self.blocks, self.line = self.blocks + [t for t in [" ".join(self.line.split())] if t], ""
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.raw = tag in ("script", "style")
+        if tag in ("p", "h1", "li", "ul", "article"):
+            self.cut()
+        elif tag == "br":
+            self.line += " "
+
+    def handle_endtag(self, tag):
+        self.raw = False
+        if tag in ("p", "h1", "li", "ul", "article"):
+            self.cut()
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth and not self.raw:
+            self.line += data
+
+
+def brute_templates(pages):
+    """Subtrees outside the article that a host's pages have at the same place: the body's children beside it, by name and class."""
+    seen = defaultdict(set)
+    for url, html in pages:
+        for x in {m for m in re.findall(r"<(nav|div class=\"ad\"|footer)>", html)}:
+            seen[op_host(url), x].add(html)
+    n = Counter(op_host(u) for u, _ in set(pages))
+    return {k for k, v in seen.items() if len(v) >= 10 or len(v) >= 3 and 2 * len(v) >= n[k[0]]}
+
+
+def op_host(url):
+    return re.match(r"[^:]*://([^/?#]*)", url)[1].lower()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_query_against_brute_force(spark):
+    """The registered query over whole pages: text, length and deleted templates."""
+    from weftmatch.llm.queries import op2_html_templates
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    templates = brute_templates([(r["url"], r["html"]) for r in rows])
+    want = {}
+    for r in rows:
+        a = Article()
+        a.feed(r["html"])
+        text = "\n".join(a.blocks)
+        want[r["page_id"]] = (r["url"], text, len(text), sum((op_host(r["url"]), x) in templates for x in ("nav", 'div class="ad"', "footer")))
+    got = {r["page_id"]: (r["url"], r["text"], r["n_chars"], r["n_template"]) for r in op2_html_templates(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want and sum(x[3] > 0 for x in want.values()) > len(want) / 2
+
+
 def test_archive(spark, tmp_path):
     big, small = "x" * 1500, "s" * 20
     rows = [(1, "u1", big), (2, "u2", big), (5, "u\r\nX: 1", big), (3, None, small), (4, "u4", small), (6, "u6", None), (7, "é", "é" * 500), (8, "é", "é" * 500), (None, "n", big)]

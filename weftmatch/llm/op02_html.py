@@ -1,14 +1,22 @@
 """Main text of web pages, with the templates of their sites removed.
 
 Every page is parsed to a tree. A first pass hashes the subtree of each block element and counts, for each host, the
-distinct pages that have it (copies of one html count once, so that an article is no template of its own copies);
-subtrees of at least TEMPLATE_PAGES pages and TEMPLATE_SHARE of the host's distinct pages are its template. At
-most (subtrees of a page) / TEMPLATE_SHARE hashes can reach that share, so that the list of a host is short, however many
-pages it has. A second pass deletes template subtrees and elements that are no article text by their name or role, and
-writes the text of the rest.
+distinct pages that have it (copies of one html count once). Two kinds of hashes are counted:
+
+- outside the article (what neither holds nor is in an article or main element): the subtree's text, and its shape (names,
+  classes and roles of its elements, runs of equal ones taken as one) together with its place in the page. So a menu or a
+  notice is a template because it recurs, even if its words change. On pages without such an element, the shape of
+  subtrees whose text is mostly links counts in this way.
+- everywhere else: the subtree's text.
+
+The first kind is a template from MANY_PAGES distinct pages on, or SOME_PAGES that are half of the host's; the second, which
+may be text of articles, needs both MANY_PAGES and half of the host's distinct pages. A second pass deletes template
+subtrees and writes the text of the rest. Near copies of an article on one host share most of their blocks; where the
+second kind would take more than half of a page's blocks, they are text of the article and stay.
 
 The article elements are the main text; without any, main elements; without these, the body. No subtree that holds a
-main element is deleted. Articles inside an article are reader comments.
+main element is deleted. Articles inside an article are reader comments. Names, roles and classes that say what an element is
+(nav, footer, class="share-buttons") settle what is no template of its host, as on hosts with few pages.
 
 Defined results: a null html or one without text is the empty text; a null url has the host ''; pages with repeated or
 null ids stay rows of their own; unclosed elements end with their parent; other columns of pages are ignored.
@@ -28,9 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import column, prepare, stored
 
-TEMPLATE_PAGES, TEMPLATE_SHARE = 10, 0.5
-#: Rows of the table of hosts and their template hashes up to which it is broadcast; a larger one is shuffled.
-BROADCAST_HASHES = 500_000
+MANY_PAGES, SOME_PAGES, TEMPLATE_SHARE = 10, 3, 0.5
+#: Template hashes of all hosts, and of one host, up to which lists by host are broadcast; beyond, lists by page are joined.
+BROADCAST_HASHES, HOST_HASHES = 500_000, 1_000
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -38,7 +46,7 @@ _TOKEN = re.compile(r"[a-z0-9]+")
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-_DROP = {"head", "nav", "footer", "aside", "form", "template", "object", "svg", "canvas", "math", "button", "select", "option", "datalist", "dialog", "menu", "audio", "video", "map", "applet", "frameset"} | _RAW
+_DROP = {"head", "nav", "footer", "aside", "form", "template", "object", "svg", "canvas", "button", "select", "option", "datalist", "dialog", "menu", "audio", "video", "applet", "frameset"} | _RAW
 #: What ends when such an element begins inside it.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 _SCOPE = {"html", "body", "article", "main", "section", "aside", "div", "table", "td", "th", "ul", "ol", "dl", "nav", "header", "footer", "form", "blockquote"}
@@ -46,13 +54,16 @@ _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "for
 _NOISE = set("""ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies
 disclaimer disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion
 recommended related replies reply respond share sharing sidebar sidebars signup social sponsor sponsored subscribe toolbar topbar widget widgets""".split())
+#: Words that may stand beside these in one name: "share-buttons" is noise, "share-price" and "related-work" are not.
+_NEUTRAL = set("""area article articles bar block body bottom box btn button buttons container content footer form global group header holder icons inner
+item items left link links list main outer page panel post posts primary right row section side site slot story text title top unit wrap wrapper""".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hash", "main")
+    __slots__ = ("tag", "attrs", "children", "hash", "shape", "own", "chars", "linked")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.attrs, self.children, self.hash, self.main = tag, attrs, [], 0, False
+        self.tag, self.attrs, self.children, self.hash, self.shape, self.own, self.chars, self.linked = tag, attrs, [], 0, 0, tag, 0, 0
 
 
 def parse(html: str) -> Node:
@@ -118,15 +129,38 @@ def _text(raw: str) -> str:
 
 
 def _hash(node: Node) -> None:
-    """Of the element's name and all that is in it; 0 if there is no text."""
-    parts = []
+    """hash: of the element's name and all that is in it; 0 if there is no text. shape: of names, classes and roles."""
+    parts, shapes = [], []
     for c in node.children:
         if isinstance(c, Node):
             if c.hash:
                 parts.append(f"{c.tag}:{c.hash}")
+                node.chars += c.chars
+                node.linked += c.linked
+                if not shapes or shapes[-1] != c.shape:
+                    shapes.append(c.shape)
         elif t := " ".join(_text(c).split()):
             parts.append(t)
-    node.hash = xxhash.xxh64_intdigest("\x1f".join([node.tag, *parts])) - 2**63 if parts else 0
+            node.chars += len(t)
+            if not shapes or shapes[-1]:
+                shapes.append(0)
+    node.own = node.tag + _marks(node)
+    if parts:
+        node.hash = xxhash.xxh64_intdigest("\x1f".join([node.tag, *parts])) - 2**63
+        node.shape = xxhash.xxh64_intdigest(f"{node.own}>{shapes}")
+        if node.tag == "a":
+            node.linked = node.chars
+
+
+_MARKED = re.compile(r"\b(?:class|id|role)\b", re.I)
+
+
+def _marks(node: Node) -> str:
+    """Class, id and role, with every number taken as the same."""
+    if not node.attrs or not _MARKED.search(node.attrs):
+        return ""
+    a = _attributes(node)
+    return re.sub(r"[0-9]+", "0", "|".join(" ".join(sorted(a.get(k, "").split())) for k in ("class", "id", "role")))
 
 
 def _attributes(node: Node) -> dict[str, str]:
@@ -141,9 +175,47 @@ def _walk(root: Node) -> Iterator[Node]:
         todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
+def keyed(root: Node, mains: list[Node]) -> Iterator[tuple[Node, tuple[int, ...]]]:
+    """Block elements that have text, with the hashes under which they may be templates; those that hold a main element have none.
+
+    Hashes are even for text that may be an article's, odd for what is outside the article.
+    """
+    inside = set(map(id, mains))
+    main = mains[0].tag != "body" and mains[0] is not root
+    holds: set[int] = set()
+    if main:
+        trail: list[Node] = []
+        todo: list[Node | None] = [root]
+        while todo:
+            node = todo.pop()
+            if node is None:
+                trail.pop()
+            elif id(node) in inside:
+                holds.update(map(id, trail))
+            else:
+                trail.append(node)
+                todo.append(None)
+                todo += [c for c in node.children if isinstance(c, Node)]
+    walk: list[tuple[Node, int, bool]] = [(root, 0, not main)]
+    while walk:
+        node, place, within = walk.pop()
+        own = id(node) in inside
+        if node.hash and node.tag in _BLOCK and node.tag not in ("html", "body") and not (main and (own or id(node) in holds)):
+            at = (xxhash.xxh64_intdigest(f"{place}/{node.shape}") - 2**63) | 1
+            if not within:
+                yield node, (node.hash | 1, at)
+            elif not main and 2 * node.linked >= node.chars:
+                yield node, (node.hash & ~1, at)
+            else:
+                yield node, (node.hash & ~1,)
+        if node.children:
+            here = xxhash.xxh64_intdigest(f"{place}>{node.own}")
+            walk += [(c, here, within or own) for c in reversed(node.children) if isinstance(c, Node)]
+
+
 def subtrees(root: Node) -> set[int]:
-    """Hashes of the block elements that have text."""
-    return {n.hash for n in _walk(root) if n.hash and n.tag in _BLOCK and n.tag not in ("html", "body")}
+    """The hashes under which subtrees of a page may be templates."""
+    return {h for _, hashes in keyed(root, _mains(root)) for h in hashes}
 
 
 def _is_noise(node: Node, in_main: bool) -> bool:
@@ -156,8 +228,16 @@ def _is_noise(node: Node, in_main: bool) -> bool:
         return True
     if a.get("role", "").lower() in _ROLES or node.tag in ("html", "body"):
         return a.get("role", "").lower() in _ROLES
-    words = set(_TOKEN.findall(f"{a.get('class', '')} {a.get('id', '')}".lower()))
-    return bool(words & _NOISE)
+    names = a.get("class", "").lower().split()
+    if not (len(node.tag) == 2 and node.tag[0] == "h"):  # ids of headings are made of their text
+        names += a.get("id", "").lower().split()
+    return any(_names_noise(x) for x in names)
+
+
+def _names_noise(name: str) -> bool:
+    """Whether a class or id is made of words for noise, and neutral ones."""
+    words = [w for w in _TOKEN.findall(name) if not w.isdigit()]
+    return any(w in _NOISE for w in words) and all(w in _NOISE or w in _NEUTRAL for w in words)
 
 
 def _mains(root: Node) -> list[Node]:
@@ -178,9 +258,8 @@ def _mains(root: Node) -> list[Node]:
     return [next((n for n in _walk(root) if n.tag == "body"), root)]
 
 
-def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The text of the article, one line for each block."""
-    root = parse(html)
+def _blocks(mains: list[Node], gone: set[int]) -> list[str]:
+    """The text of main elements without the subtrees that are gone, and without noise."""
     blocks, line = [], []
 
     def flush() -> None:
@@ -188,7 +267,7 @@ def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> s
             blocks.append(text)
         line.clear()
 
-    for main in _mains(root):
+    for main in mains:
         inside = main.tag in ("article", "main")
         todo: list[Node | str | None] = [*reversed(main.children)]
         flush()
@@ -200,13 +279,46 @@ def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> s
                 line.append(_text(node))
             elif node.tag == "br":
                 line.append(" ")
-            elif not (node.hash in template and node.tag in _BLOCK and node.tag not in ("html", "body")) and not _is_noise(node, inside):
+            elif id(node) in gone:
+                flush()
+            elif not _is_noise(node, inside):
                 if node.tag in _BLOCK:
                     flush()
                     todo.append(None)
                 todo += reversed(node.children)
         flush()
-    return "\n".join(blocks)
+    return blocks
+
+
+def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> tuple[str, int]:
+    """The text of the article, one line for each block, and how many subtrees were deleted as templates."""
+    root = parse(html)
+    mains = _mains(root)
+    sure, maybe = [], []
+    if template:
+        for node, hashes in keyed(root, mains):
+            if hit := [h for h in hashes if h in template]:
+                (sure if any(h & 1 for h in hit) else maybe).append(node)
+    gone = {id(n) for n in sure}
+    blocks = _blocks(mains, gone)
+    if maybe:
+        less = _blocks(mains, gone | {id(n) for n in maybe})
+        if 2 * len(less) >= len(blocks):
+            blocks = less
+        else:
+            maybe = []
+    return "\n".join(blocks), len(_outermost(root, gone | {id(n) for n in maybe})) if gone or maybe else 0
+
+
+def _outermost(root: Node, gone: set[int]) -> list[Node]:
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if id(node) in gone:
+            found.append(node)
+        else:
+            todo += [c for c in node.children if isinstance(c, Node)]
+    return found
 
 
 def host_of(url: Column) -> Column:
@@ -214,8 +326,13 @@ def host_of(url: Column) -> Column:
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def site_templates(pages: DataFrame) -> DataFrame:
-    """host, hash: the block subtrees that recur across many pages of a host."""
+def _based(pages: DataFrame) -> DataFrame:
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    return pages.select("page_id", "url", html.alias("html"), host_of(F.col("url")).alias("host"), F.xxhash64(html).alias("page"))
+
+
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """host, page (a hash of the html), hashes: one row for each distinct page of a host."""
     prepare(pages.sparkSession)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,27 +340,39 @@ def site_templates(pages: DataFrame) -> DataFrame:
             found = [sorted(subtrees(parse(h))) for h in column(batch, "html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "hashes"])
 
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    base = pages.select(host_of(F.col("url")).alias("host"), html.alias("html"), F.xxhash64(html).alias("page"))
-    distinct = base.mapInArrow(hashed, "host string, page long, hashes array<long>").dropDuplicates(["host", "page"])
-    seen = distinct.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {TEMPLATE_PAGES}")
-    hosts = base.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return seen.join(hosts, "host").where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).select("host", "hash")
+    return _based(pages).select("host", "html", "page").mapInArrow(hashed, "host string, page long, hashes array<long>").dropDuplicates(["host", "page"])
+
+
+def site_templates(subtrees_of: DataFrame) -> DataFrame:
+    """host, hash: the subtrees that recur across many pages of a host (see the head of this file), of (host, page, hashes)."""
+    seen = subtrees_of.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {SOME_PAGES}")
+    hosts = subtrees_of.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    many, half = F.col("n") >= MANY_PAGES, F.col("n") >= TEMPLATE_SHARE * F.col("pages")
+    outside = F.col("hash").bitwiseAND(F.lit(1).cast("long")) == 1
+    return seen.join(hosts, "host").where((many & half) | (outside & (many | half))).select("host", "hash")
+
+
+def _templated(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, template: the template hashes of each page's host, or those that the page has itself."""
+    subtrees_of = stored(page_subtrees(pages), "subtrees")
+    templates = stored(site_templates(subtrees_of), "templates")
+    base = _based(pages)
+    sizes = templates.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("all")).first()
+    if sizes["all"] <= BROADCAST_HASHES and sizes["most"] <= HOST_HASHES:
+        lists = templates.groupBy("host").agg(F.collect_set("hash").alias("template"))  # HOST_HASHES at most
+        return base.join(F.broadcast(lists), "host", "left").select("page_id", "url", "html", "template")
+    has = subtrees_of.select("host", "page", F.explode("hashes").alias("hash")).join(templates, ["host", "hash"], "left_semi")
+    lists = has.groupBy("host", "page").agg(F.collect_set("hash").alias("template"))  # a page's own
+    return base.join(lists, ["host", "page"], "left").select("page_id", "url", "html", "template")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text."""
-    templates = stored(site_templates(pages), "templates")
-    lists = templates.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("template"))  # few for each host: see the head of this file
-    if templates.count() <= BROADCAST_HASHES:
-        lists = F.broadcast(lists)
-    base = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
+    """page_id, url, text, n_template (subtrees that were deleted as templates of the host)."""
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(3).to_pylist()
-            texts = [main_text(h, frozenset(t or ())) for h, t in zip(column(batch, "html").to_pylist(), lists, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+            done = [main_text(h, frozenset(t or ())) for h, t in zip(column(batch, "html").to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["page_id", "url", "text", "n_template"])
 
-    return base.join(lists, "host", "left").select("page_id", "url", "html", "template").mapInArrow(extracted, f"page_id {kind}, url string, text string")
+    return _templated(pages).mapInArrow(extracted, f"page_id {kind}, url string, text string, n_template long")

@@ -29,23 +29,34 @@ def ids_of(library, text):
 
 def test_tree_equals_library(b, library, monkeypatch):
     r = random.Random(5)
-    for _ in range(800):
+    b.joins = 0
+    for _ in range(1500):
         letters = r.sample(ALPHABET, r.choice([1, 2, 5, 9, 22]))
         text = "".join(r.choice(letters) for _ in range(r.randint(0, 200)))
-        monkeypatch.setattr(bpe, "PLAIN_CHARS", r.choice([0, 5, 2048]))
-        leaves = b.leaves(text, r.choice([1, 2, 3, 7, 50]))
-        got = b.concatenate([(x, [b.added[x]] if alone else b.engine.encode_ordinary(x), alone) for x, alone in leaves])
+        monkeypatch.setattr(bpe, "WINDOW", r.choice([1, 2, 8]))
+        leaf = r.choice([1, 2, 3, 7, 50])
+        assert "".join(b.cuts(text, leaf)) == text
+        got = b.encode_tree(text, leaf)
         assert got == ids_of(library, text) and b.decode(got) == text
+    assert b.joins > 10_000
 
 
-@pytest.mark.parametrize("text", ["a" * 70_000, "the" * 30_000, "日本" * 20_000, " " * 50_000])
+@pytest.mark.parametrize("text", ["a" * 70_000, "the" * 30_000, "日本" * 20_000, " " * 50_000, "x " + "\n" * 9_000 + " y", "!" * 9_000 + "'s", "word " * 3_000 + "'" * 5_000 + "re"])
 def test_long_runs(b, library, text):
-    assert b.concatenate([(x, b.engine.encode_ordinary(x), False) for x, _ in b.leaves(text)]) == ids_of(library, text)
+    assert b.encode_tree(text) == ids_of(library, text)
 
 
-@pytest.mark.parametrize("leaf", [bpe.LEAF_CHARS, 64])
-def test_encode_decode(docs, rows, library, leaf):
-    got = Counter((r["doc_id"], bytes(r["token_ids"]), r["decoded"]) for r in op01_bpe.encode_decode(docs, leaf_chars=leaf).collect())
+def test_windows_stay_small(b, library):
+    """Every join of a text with breaks is settled by windows of few ids; none encodes a whole side again."""
+    text = "Some words, and 12 numbers; don't stop. " * 4_000
+    b.joins = b.windows = 0
+    assert b.encode_tree(text) == ids_of(library, text)
+    assert b.joins == -(-len(text) // bpe.LEAF_CHARS) - 1 and b.windows <= 3 * b.joins
+
+
+@pytest.mark.parametrize("sizes", [{}, {"part_chars": 64, "leaf_chars": 16, "fan_in": 2}, {"part_chars": 50, "leaf_chars": 7, "fan_in": 3}])
+def test_encode_decode(docs, rows, library, sizes):
+    got = Counter((r["doc_id"], bytes(r["token_ids"]), r["decoded"]) for r in op01_bpe.encode_decode(docs, **sizes).collect())
     assert got == Counter((i, np.array(ids_of(library, t), "<u4").tobytes(), t or "") for i, t in rows)
 
 

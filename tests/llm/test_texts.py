@@ -139,6 +139,48 @@ def test_quality_on_held_out_labels(spark):
     chain = op05_quality.train(d, labels.where("doc_id % 2 = 0"))
     rows = op05_quality.judge(d, chain).join(labels.where("doc_id % 2 = 1"), "doc_id").where("not base_failed").collect()
     assert sum(r["kept"] == bool(r["quality"]) for r in rows) / len(rows) > 0.95
+    assert any(0 < r["content_share"] < 1 for r in rows)  # lines of one document with both labels
+
+
+def test_line_labels():
+    """Lines of a good document are boilerplate where they repeat, or recur between other lines; copies are no recurrence."""
+    import numpy as np
+
+    def beside(lines):
+        seen = set()
+        rows = [[h, lines[k - 1] if k else 0, lines[k + 1] if k + 1 < len(lines) else 0, h in seen or seen.add(h) or 0] for k, h in enumerate(lines)]
+        return np.array(rows, np.int64).reshape(-1, 4)
+
+    docs = [([1, 7, 2], 1), ([3, 7, 4], 1), ([5, 7, 6, 5], 1), ([1, 7, 2], 1), ([1, 7, 2], 1), ([9, 8], 0), ([], 1)]
+    got = op05_quality.line_labels([(beside(x), y) for x, y in docs])
+    assert [g.tolist() for g in got] == [[1, 0, 1], [1, 0, 1], [1, 0, 1, 0], [1, 0, 1], [1, 0, 1], [0, 0], []]
+
+
+def test_chain_marks_lines_of_one_text():
+    """Trained on line labels: a text with both kinds of lines gets both labels, and its share of content words."""
+    r = random.Random(3)
+    prose = lambda: " ".join(r.choice(["river", "stone", "walked", "along", "quiet", "house"]) for _ in range(r.randint(14, 20))) + "."
+    junk = lambda: "### " + " ".join(r.choice(["BUY", "NOW", "$$$", "%%%"]) for _ in range(r.randint(3, 5)))
+    texts = ["\n".join((prose if kind else junk)() for _ in range(r.randint(2, 9))) for kind in (0, 1) * 40] + ["\n".join([prose(), junk(), junk(), prose()]) for _ in range(10)]
+    sequences = []
+    for k, t in enumerate(texts):
+        m = op05_quality.measure(pa.array([t]))
+        gold = [int("###" not in line) for line in t.split("\n")]
+        sequences.append((m.features, __import__("numpy").array(gold), int(k % 2 or k >= 80)))
+    chain = op05_quality.fit(sequences)
+    tail = "\n".join([prose(), prose(), prose(), junk(), junk(), junk()])
+    got = op05_quality._verdicts(pa.array([tail]), chain, 0.5)
+    words = [len(line.split()) for line in tail.split("\n")]
+    assert (got[8].to_pylist(), got[9].to_pylist()) == ([6], [3])
+    assert got[7].to_pylist() == [pytest.approx(sum(words[:3]) / sum(words))]
+
+
+def test_text_of_another_type(spark):
+    """A text column that isn't a string is cast, as everywhere; no column of the documents is lost or added."""
+    df = spark.createDataFrame([(1, bytearray(b"a b c"), "x"), (2, None, "y")], "doc_id long, text binary, said string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    kept = op05_quality.filter_documents(df.union(spark.createDataFrame([(3, bytearray(" ".join(f"w{i}" for i in range(60)).encode()), "z")], df.schema)), none)
+    assert kept.columns == df.columns and [(r["doc_id"], r["said"]) for r in kept.collect()] == [(3, "z")]
 
 
 def test_quality_edges(docs, empty, spark):

@@ -1,8 +1,13 @@
-"""Byte-level BPE from a public vocabulary file, and the tree concatenation of separately encoded halves.
+"""Byte-level BPE from a public vocabulary file, and the tree concatenation of separately encoded parts.
 
-The merge engine is tiktoken's, given the vocabulary and merge order of a tokenizers file. Halves are joined exactly:
-an id sequence is the encoding of its bytes if and only if each two neighbours are the encoding of their own bytes. So a
-re-encoded window whose outer ids equal those that stood there before fits to both sides.
+The merge engine is tiktoken's, given the vocabulary and merge order of a tokenizers file. Parts are joined by windows of
+ids around the join that are decoded and encoded again, and grow until both sides agree exactly:
+
+- Pieces (what the tokenizer cuts a text into before it merges) are found from left to right without looking back. So a
+  window that begins where a piece of the left part begins is cut as the whole text is; as soon as one of its cuts is a cut
+  of the right part too, all later ones are. A cut is certain when MARGIN characters behind it are known, or the end is.
+- Inside the piece that spans the join, an id sequence is the encoding of its bytes if and only if each two neighbours are
+  the encoding of their own bytes. So a window whose outer ids equal those that stood there before fits to both sides.
 """
 
 from __future__ import annotations
@@ -21,10 +26,10 @@ PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Between a character that isn't white space and one that is, a piece ends wherever the text is cut.
 _BREAK = re.compile(rf"[^{SPACE}\x1c-\x1f](?=[ \t\n\r])")
-#: Characters of a leaf; a longer text is encoded as a tree of leaves.
-LEAF_CHARS = 32_768
-#: Characters of a run without a break that are simply encoded again at a join.
-PLAIN_CHARS = 2_048
+#: Characters of a leaf of the tree, and ids of a window at first on each side of a join.
+LEAF_CHARS, WINDOW = 4_096, 8
+#: Characters behind a cut of pieces that settle it: contractions look two ahead, white space one.
+MARGIN = 3
 
 
 def default_path() -> str:
@@ -56,6 +61,7 @@ class ByteBpe:
         self.engine = tiktoken.Encoding("byte_bpe", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens=added)
         self.added = added
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.special, self.joins, self.windows = set(added.values()), 0, 0
         self.size = np.zeros(max([*ranks.values(), *added.values()]) + 1, np.int64)
         for token, i in ranks.items():
             self.size[i] = len(token)
@@ -80,100 +86,117 @@ class ByteBpe:
 
     # ---- tree concatenation ----
 
-    def leaves(self, text: str, leaf: int = LEAF_CHARS) -> list[tuple[str, bool]]:
-        """Leaves of a text, in order; True: an added token, which is never joined to its neighbours."""
-        return [x for k, part in enumerate(self.parts(text)) if part for x in ([(part, True)] if k % 2 else [(part[i : i + leaf], False) for i in range(0, len(part), leaf)])]
-
-    def join(self, left: tuple[str, list[int]], right: tuple[str, list[int]]) -> tuple[str, list[int]]:
-        """The exact encoding of left + right from their own encodings."""
-        (a, x), (b, y) = left, right
-        if not a or not b:
-            return a + b, x + y
-        if _BREAK.match(a[-1] + b[0]):
-            return a + b, x + y
-        cut_a, cut_b = _last_break(a), _first_break(b)
-        tail, head = a[cut_a:], b[:cut_b]
-        if len(tail) + len(head) <= PLAIN_CHARS:
-            lost_x, lost_y = len(self.engine.encode_ordinary(tail)), len(self.engine.encode_ordinary(head))
-            return a + b, x[: len(x) - lost_x] + self.engine.encode_ordinary(tail + head) + y[lost_y:]
-        return a + b, self._join_run(x, y, tail, head)
-
-    def _join_run(self, x: list[int], y: list[int], tail: str, head: str) -> list[int]:
-        """Joins a long run without a break: finds the pieces that the cut changes, then grows a window inside a long one."""
-        at = len(tail)
-        whole = [m.start() for m in _PIECE.finditer(tail + head)] + [at + len(head)]
-        mine = [*(m.start() for m in _PIECE.finditer(tail)), at]
-        yours = {at + m.start() for m in _PIECE.finditer(head)} | {at + len(head)}
-        start = next((p for p, q, r in zip(mine, mine[1:], whole[1:], strict=False) if q != r), at)  # up to here the pieces are the same
-        stop = min(p for p in whole if p >= at and p in yours)
-        text = tail + head
-        keep_x, keep_y = self._before(x, text[start:at]), self._after(y, text[at:stop])
-        left, right = x[keep_x:], y[:keep_y]
-        if stop - start <= PLAIN_CHARS or not _one_piece(whole, start, stop) or not _one_piece(mine, start, at) or not _one_piece(sorted(yours), at, stop):
-            cuts = [p for p in whole if start <= p <= stop]
-            pieces = (self.engine._encode_single_piece(text[p:q]) for p, q in zip(cuts, cuts[1:], strict=False))
-            return x[:keep_x] + [i for piece in pieces for i in piece] + y[keep_y:]
-        return x[:keep_x] + self.join_piece(left, right) + y[keep_y:]
+    def cuts(self, text: str, size: int) -> list[str]:
+        """Parts of a text of about size characters; none begins or ends inside an added token."""
+        inside = [(m.start(), m.end()) for m in self.split.finditer(text)] if self.split and any(a in text for a in self.added) else []
+        out, at, k = [], 0, 0
+        while at < len(text):
+            stop = at + size
+            while k < len(inside) and inside[k][1] <= stop:
+                k += 1
+            if k < len(inside) and inside[k][0] < stop:
+                stop = inside[k][1]
+            out.append(text[at:stop])
+            at = stop
+        return out
+
+    def encode_tree(self, text: str, leaf: int = LEAF_CHARS) -> list[int]:
+        """The ids of a text: leaves are encoded, and joined pairwise, level by level."""
+        return self.concatenate([self.encode(x) for x in self.cuts(text, leaf)])
+
+    def concatenate(self, parts: list[list[int]]) -> list[int]:
+        while len(parts) > 1:
+            parts = [self.join(parts[k], parts[k + 1]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        return parts[0] if parts else []
+
+    def join(self, x: list[int], y: list[int]) -> list[int]:
+        """The exact encoding of two texts in a row from the ids of each."""
+        if not x or not y:
+            return x + y
+        self.joins += 1
+        i = j = WINDOW
+        while True:
+            i, j = min(i, len(x)), min(j, len(y))
+            self.windows += 1
+            tail, tail_ids, begun = self._tail(x, i)
+            head, head_ids, ended = self._head(y, j)
+            if not tail_ids or not head_ids:  # an added token stands at the join
+                return x + y
+            start = self._last_cut(tail, begun) if tail is not None else None
+            if start is None:
+                i *= 2
+            stop = None
+            if start is not None and head is not None:
+                stop = self._agree(tail[start:], head, ended)
+            if head is None or start is not None and stop is None:
+                j *= 2
+            if stop is not None:
+                break
+        left, right = self._ids_of(tail_ids[::-1], tail[start:]), self._ids_of(head_ids, head[:stop])
+        cut, middle = len(tail) - start, []
+        last = max(m.start() for m in _PIECE.finditer(tail, start)) - start  # the last piece of the left part, and where the first one of the right part ends
+        first = cut + next(m.end() for m in _PIECE.finditer(head))
+        for m in _PIECE.finditer(tail[start:] + head):  # cut with what follows the window in view; its last cut is where both sides agree
+            if m.start() >= cut + stop:
+                break
+            if (m.start(), m.end()) == (last, first):
+                middle += self.join_piece(tail_ids[len(tail_ids) - self._ids_of(tail_ids[::-1], tail[start + last :]) :], head_ids[: self._ids_of(head_ids, head[: first - cut])])
+            else:
+                middle += self.engine._encode_single_piece(m[0])
+        return x[: len(x) - left] + middle + y[right:]
 
     def join_piece(self, left: list[int], right: list[int]) -> list[int]:
         """Joins the ids of two parts of one piece: the window doubles until its outer ids are those of both sides."""
         i = j = 4
         while True:
             i, j = min(i, len(left)), min(j, len(right))
+            self.windows += 1
             window = self.engine._encode_single_piece(self.engine.decode_bytes(left[len(left) - i :] + right[:j]))
             left_fits, right_fits = i == len(left) or window[0] == left[-i], j == len(right) or window[-1] == right[j - 1]
             if left_fits and right_fits:
                 return left[: len(left) - i] + window + right[j:]
             i, j = i if left_fits else 2 * i, j if right_fits else 2 * j
 
-    def _before(self, ids: list[int], text: str) -> int:
-        """How many ids come before those that spell text, at the end of ids."""
-        sizes, n = np.cumsum(self.size[ids[::-1]]) if ids else np.zeros(0), len(text.encode())
-        return len(ids) - (int(np.searchsorted(sizes, n)) + 1 if n else 0)
-
-    def _after(self, ids: list[int], text: str) -> int:
-        """How many ids spell text, at the start of ids."""
-        sizes, n = np.cumsum(self.size[ids]) if ids else np.zeros(0), len(text.encode())
-        return int(np.searchsorted(sizes, n)) + 1 if n else 0
-
-    def concatenate(self, leaves: list[tuple[str, list[int], bool]]) -> list[int]:
-        """Joins encoded leaves pairwise, level by level; added tokens separate trees."""
-        out: list[int] = []
-        level: list[tuple[str, list[int]]] = []
-
-        def closed() -> list[int]:
-            nonlocal level
-            while len(level) > 1:
-                level = [self.join(*level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
-            ids, level = (level[0][1] if level else []), []
-            return ids
-
-        for text, ids, alone in leaves:
-            if alone:
-                out += closed() + ids
-            else:
-                level.append((text, ids))
-        return out + closed()
-
-
-def _last_break(text: str) -> int:
-    """The last break of a text, 0 if none."""
-    width = 256
-    while True:
-        found = [m.end() for m in _BREAK.finditer(text, max(0, len(text) - width))]
-        if found or width >= len(text):
-            return found[-1] if found else 0
-        width *= 4
-
-
-def _first_break(text: str) -> int:
-    """The first break of a text, its end if none."""
-    found = _BREAK.search(text)
-    return found.end() if found else len(text)
-
-
-def _one_piece(bounds: list[int], start: int, stop: int) -> bool:
-    return not any(start < p < stop for p in bounds)
+    def _tail(self, x: list[int], i: int) -> tuple[str | None, list[int], bool]:
+        """The last i ids of a part behind its last added token: their text (None: it begins inside a character), the ids, whether text begins there."""
+        ids = x[len(x) - i :]
+        special = next((k for k in range(len(ids) - 1, -1, -1) if ids[k] in self.special), None)
+        ids = ids if special is None else ids[special + 1 :]
+        data = self.engine.decode_bytes(ids)
+        begun = special is not None or i == len(x)
+        return (None if data and 0x80 <= data[0] < 0xC0 else data.decode()), ids, begun
+
+    def _head(self, y: list[int], j: int) -> tuple[str | None, list[int], bool]:
+        """The first j ids of a part before its first added token: their text (None: it ends inside a character), the ids, whether text ends there."""
+        ids = y[:j]
+        special = next((k for k, t in enumerate(ids) if t in self.special), None)
+        ids = ids if special is None else ids[:special]
+        try:
+            text = self.engine.decode_bytes(ids).decode()
+        except UnicodeDecodeError:
+            text = None
+        return text, ids, special is not None or j == len(y)
+
+    def _last_cut(self, tail: str, begun: bool) -> int | None:
+        """The last certain cut of a part before its end, if a place before it is known to be one."""
+        at = 0 if begun else next((m.end() for m in _BREAK.finditer(tail)), None)
+        if at is None or at == len(tail):
+            return None
+        return max((m.start() for m in _PIECE.finditer(tail, at) if len(tail) - m.start() >= MARGIN), default=at)
+
+    def _agree(self, left: str, head: str, ended: bool) -> int | None:
+        """The first place in head that is a certain cut of the right part and of the window (left: the last piece of the left part)."""
+        sure = len(head) if ended else len(head) - MARGIN
+        own = {m.end() for m in _PIECE.finditer(head)}
+        return next((m.end() - len(left) for m in _PIECE.finditer(left + head) if m.end() >= len(left) and m.end() - len(left) <= sure and (m.end() - len(left) in own)), None)
+
+    def _ids_of(self, ids: list[int], text: str) -> int:
+        """How many ids, from the first one on, spell as many bytes as text has."""
+        n, k = len(text.encode()), 0
+        while n > 0:
+            n -= int(self.size[ids[k]])
+            k += 1
+        return k
 
 
 @functools.lru_cache(maxsize=4)

@@ -19,8 +19,12 @@ _folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else a local one (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """The folder that driver and executors share: spark.checkpoint.dir. Without that setting only a local master, as in tests, goes on."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
+        root = "file:///tmp/checkpoints"
     app = spark.sparkContext.applicationId
     if app not in _folders:
         _folders[app] = f"{root.rstrip('/')}/weftmatch-{app}-{uuid.uuid4().hex[:8]}"
@@ -42,12 +46,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
+#: Spark's own setting that lets the shuffle files of an execution go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: its lineage ends there, so that a lost executor costs a file read."""
+    """df, written to the shared folder and read again: its lineage ends there, so that a lost executor costs a file read.
+
+    Nothing reads the shuffles of the write after it, so that their files may go at once.
+    """
     spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # Spark's cleaner then deletes the shuffle files of the step that is over
+    path, before = new_folder(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -61,6 +75,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unlike(columns: list[str], name: str) -> str:
+    """A column name that is none of the given ones, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most SLICE_BYTES of text, one row at least."""
     ends = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1]

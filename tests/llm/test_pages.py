@@ -1,13 +1,15 @@
 import hashlib
 import math
 import os
+import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import pytest
 
-from weftmatch.llm import op02_html, op04_warc, op08_urls, op09_licences
+from weftmatch.llm import licence_texts, op02_html, op04_warc, op08_urls, op09_licences
 
 PAGE = "<html><head><title>t</title><style>p{}</style></head><body><nav><li>menu</nav><header>top</header><article><h1>Head</h1><p>One &amp;\n two<br>three<p>Four<div class='comments'><p>reader</div><article>nested</article></article><aside>side</aside><footer>&copy;</footer>"
 
@@ -211,40 +213,104 @@ def test_url_model(spark):
 
 
 def brute_licences(files, templates=op09_licences.TEMPLATES, threshold=op09_licences.THRESHOLD):
-    import re
-
+    """Own licence of every file, all units against all templates."""
     split = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
     n, df = len(files), Counter()
     for _, _, t in files:
         df.update(set(split(t or "")))
-    vocabulary = {w for t in templates.values() for w in split(t)}
+    vocabulary = {w for x in templates for w in split(x.text)}
     idf = lambda w: math.log((1 + n) / (1 + (df[w] if w in vocabulary else 0))) + 1
-    vec = lambda t: {w: c * idf(w) for w, c in Counter(split(t)).items()}
+    vec = lambda t: {w: (1 + math.log(c)) * idf(w) for w, c in Counter(split(t)).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    out = {}
+    known = [(x, vec(x.text), set(x.must)) for x in templates]
+    best = {}
     for i, p, t in files:
-        best = None
-        for k, line in enumerate((t or "").split("\n")):
-            v = vec(line)
-            for j, (name, text) in enumerate(sorted(templates.items())):
-                u = vec(text)
-                s = round(sum(x * u.get(w, 0) for w, x in v.items()) / (norm(v) * norm(u)), 9) if v else 0
-                if s >= threshold and (best is None or (s, -k, -j) > best[0]):
-                    best = ((s, -k, -j), name)
-        out[i, p] = best and best[1]
+        lines = (t or "").split("\n")
+        paragraphs = [[]]
+        for line in lines:
+            if split(line):
+                paragraphs[-1].append(line)
+            elif paragraphs[-1]:
+                paragraphs.append([])
+        units = [(0, 0, t or ""), (1, 0, "\n".join(lines[:30])), *((2, k, "\n".join(x)) for k, x in enumerate(paragraphs)), *((3, k, x) for k, x in enumerate(lines))]
+        for kind, no, said in units:
+            v = vec(said)
+            for x, u, must in known:
+                s = round(sum(y * u.get(w, 0) for w, y in v.items()) / (norm(v) * norm(u)), 9) if v else 0
+                if s >= threshold and must <= set(v):
+                    key = (x.license == "Proprietary", -s, kind, no, x.license)
+                    best[i, p] = min(best.get((i, p), key), key)
+    return {(i, p): (best[i, p][4], op09_licences.UNITS[best[i, p][2]], -best[i, p][1]) if (i, p) in best else None for i, p, _ in files}
+
+
+def brute_inherited(files, own):
+    """Licence of every file by walking up its directories."""
+    sources = {}
+    for i, p, _ in sorted(files, key=lambda f: str(f[0])):
+        d, _, name = p.rpartition("/")
+        if re.match(r"(?i)(licen[cs]e|copying|notice)([._-].*)?$", name) and own[i, p]:
+            key = (-own[i, p][2], i, p)
+            sources[d] = min(sources.get(d, (key, own[i, p][0])), (key, own[i, p][0]))
+    out = {}
+    for i, p, _ in files:
+        d = p.rpartition("/")[0]
+        while not own[i, p] and d and d not in sources:
+            d = d.rpartition("/")[0]
+        out[i, p] = (own[i, p][0], None) if own[i, p] else (sources[d][1], d) if d in sources else (None, None)
     return out
 
 
+L = {(x.license, len(x.text) > 120): x.text for x in reversed(op09_licences.TEMPLATES)}
+MIT_FILE = "MIT License\n\nCopyright (c) 2019 Some Body\n\n" + "\n\n".join(textwrap.fill(x, 70) for x in (licence_texts._MIT_GRANT, licence_texts._MIT_NOTICE, licence_texts._AS_IS))
+APACHE_FILE = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n"
+HEADER = "/*\n * Copyright 2020 The Writers\n *\n" + "\n".join(" * " + x for x in textwrap.wrap(licence_texts._gnu("GNU General Public License", "2"), 60)) + "\n */\nint main() { return 0; }\n"
+
+
 def test_licences(spark):
-    t = op09_licences.TEMPLATES
     files = [
-        (1, "r/LICENSE", f"words\n{t['MIT']}"), (2, "r/a/x.py", "plain text"), (3, "r/a/b/y.py", f"# {t['Apache-2.0']}\ncode"), (4, "r/a/COPYING.txt", t["GPL-3.0"]), (5, "r/a/b/z.py", None),
+        (1, "r/LICENSE", f"words\n{L['MIT', False]}"), (2, "r/a/x.py", "plain text"), (3, "r/a/b/y.py", f"# {L['Apache-2.0', False]}\ncode"), (4, "r/a/COPYING.txt", "This work is licensed under the GNU General Public License, version 3."), (5, "r/a/b/z.py", None),
         (6, "q/x.py", "the public of license"), (7, None, ""), (8, "r/c/d/e/f.py", "no header"), (9, "r/a/b/y.py", "license the work under the general public"), (10, "LICENSES/x", "x"),
+        (11, "m/LICENSE", MIT_FILE), (12, "m/s/t.py", "text"), (13, "p/LICENSE.txt", APACHE_FILE), (14, "p/a/b/c/d.py", "x y"), (15, "h/x.c", HEADER), (16, "g/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy"),
+        (17, "z/a", "All rights reserved."), (18, "z/b", "MIT License"), (19, "z/c", "Apache License"), (20, "z/d", "Released under the Bar License."), (21, "z/e", "Copyright (c) All rights reserved.\n\n" + licence_texts._BSD_GRANT + "\n" + licence_texts._BSD_TERMS + "\n" + licence_texts._BSD_AS_IS),
     ]
     df = spark.createDataFrame([(*f, "x") for f in files], "file_id long, path string, text string, license string")
-    got = {r["file_id"]: r for r in op09_licences.scan(df).collect()}
-    assert len(got) == len(files)
-    assert {(r["file_id"], r["path"]): r["own_license"] for r in got.values()} == brute_licences([(i, p or "", x) for i, p, x in files])
-    assert {i: got[i]["license"] for i in (2, 5, 8, 6, 7)} == {2: "GPL-3.0", 5: "GPL-3.0", 8: "MIT", 6: None, 7: None}
-    assert got[8]["inherited_from"] == "r" and got[3]["inherited_from"] is None
+    rows = {(r["file_id"], r["path"]): r for r in op09_licences.scan(df).collect()}
+    paths = [(i, p or "", x) for i, p, x in files]
+    own = brute_licences(paths)
+    assert {k: r["own_license"] and (r["own_license"], r["own_unit"], pytest.approx(r["own_score"], abs=2e-9)) for k, r in rows.items()} == own
+    assert {k: (r["license"], r["inherited_from"]) for k, r in rows.items()} == brute_inherited(paths, own)
+    got = {i: r["license"] for (i, _), r in rows.items()}
+    assert got == {1: "MIT", 2: "GPL-3.0", 3: "Apache-2.0", 4: "GPL-3.0", 5: "GPL-3.0", 6: None, 7: None, 8: "MIT", 9: got[9], 10: None, 11: "MIT", 12: "MIT", 13: "Apache-2.0", 14: "Apache-2.0", 15: "GPL-2.0", 16: "GPL-3.0", 17: "Proprietary", 18: "MIT", 19: "Apache-2.0", 20: None, 21: "BSD-2-Clause"}
     assert op09_licences.scan(df.limit(0)).count() == 0
+
+
+def test_licences_of_repeated_rows(spark):
+    """Equal ids and paths are one file, each text scored by itself; ids may be text; null ids are files too."""
+    files = [("a", "r/x.py", "Released under the MIT License."), ("a", "r/x.py", "Dedicated words of a page\nmore"), ("b", "r/x.py", "Released under the MIT License."), (None, "r/LICENSE", "Licensed under the Apache License, Version 2.0."), ("c", "r/y", "x")]
+    df = spark.createDataFrame(files, "file_id string, path string, text string")
+    got = Counter((r["file_id"], r["own_license"], r["license"]) for r in op09_licences.scan(df).collect())
+    assert got == Counter({("a", "MIT", "MIT"): 2, ("b", "MIT", "MIT"): 1, (None, "Apache-2.0", "Apache-2.0"): 1, ("c", None, "Apache-2.0"): 1})
+    docs = spark.createDataFrame([("k1", "s", "x"), (None, None, None)], "doc_id string, source string, text string")
+    assert op09_licences.scan(op09_licences.files_of(docs)).count() == 2
+
+
+def test_random_trees_of_licences(spark):
+    """Inheritance against walking up, over random trees and texts."""
+    r = random.Random(8)
+    said = [x.text for x in op09_licences.TEMPLATES if len(x.text) < 120]
+    folder = lambda: "/".join(r.choice("abc") for _ in range(r.randint(0, 4)))
+    files = []
+    for i in range(150):
+        d, name = folder(), r.choice(["LICENSE", "NOTICE.md", "x.py", "y.txt", "licenses"])
+        files.append((i, f"{d}/{name}" if d else name, r.choice([f"some words\n{r.choice(said)}\nend", "plain", None, ""])))
+    df = spark.createDataFrame(files, "file_id long, path string, text string")
+    own = brute_licences(files)
+    got = {(x["file_id"], x["path"]): (x["license"], x["inherited_from"]) for x in op09_licences.scan(df).collect()}
+    assert got == brute_inherited(files, own)
+
+
+def test_key_pattern():
+    words = ["a", "an", "and", "android", "b", "gnu", "general"]
+    pattern = re.compile(op09_licences.key_pattern(words).replace("(?iu)", "(?i)").replace(r"\p{L}\p{N}", "a-z0-9"))
+    for w in [*words, "ande", "andr", "x", "gn", "gnus", "generals", "AND"]:
+        assert bool(pattern.search(f"see {w}, then")) == (w.lower() in words), w

@@ -1,48 +1,38 @@
-"""Licence scans: TF-IDF cosine of lines to licence templates, then inheritance from the nearest directory above.
+"""Licence scans: TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest directory above.
 
-Every line of every file is a candidate. Document frequencies of the templates' words are counted over all files; words
-that no template has count as found in no file. A line has a licence when its cosine to a template is THRESHOLD or more.
-Such a line must hold a key word: the lightest words of a template, as long as their squared weights stay below
-THRESHOLD**2, cannot reach it alone; the other words are key words. Lines without any are left out beforehand, exactly.
+Units of text are compared: a whole file, its head (HEAD_LINES lines), each paragraph (lines between lines without words) and each line. Weights
+are (1 + ln tf) * idf. Document frequencies of the templates' words are counted over all files; words that no template has
+count as found in no file. A unit has a licence when its cosine to a template is THRESHOLD or more and it has the words
+that the template must have. Such a unit holds a key word: the lightest words of a template, as long as their squared
+weights stay below THRESHOLD**2, cannot reach it alone; the other words are key words. Units without any are left out
+beforehand, exactly. A file's own licence is that of its best unit; a licence of last resort counts only where no other is
+found.
 
-A file without a licence line of its own inherits from the nearest directory, its own or one above, that has a licence
+A file without a licence of its own inherits from the nearest directory, its own or one above, that has a licence
 file (named licence, license, copying or notice) with a licence; of several in one directory the best score counts, on a
-tie the first name.
+tie the first id.
 
-Defined results: a null text has no lines; a null path is the root directory and no name; rows with equal id and path are
-one file with all their lines; without a licence anywhere, license is null; a tie between templates goes to the first
-name; other columns are ignored.
+Defined results: a null text has no units; a null path is the root directory and no name; rows with equal id and path are
+one file, each text of which is scored by itself; without a licence anywhere, license is null; a tie goes to the larger unit, then
+the earlier one, then the first name; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .licence_texts import LAST_RESORT, TEMPLATES, Template
 
-THRESHOLD = 0.6
+THRESHOLD, HEAD_LINES = 0.6, 30
+UNITS = ("whole", "head", "paragraph", "line")
 #: Rows up to which a table of files, directories or terms is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 500_000
-#: Short forms of public licences.
-TEMPLATES = {
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0.",
-    "Proprietary": "All rights reserved. Unauthorized copying of this file is strictly prohibited.",
-}
 LICENCE_FILE = r"^(?i)(licen[cs]e|copying|notice)([._-].*)?$"
 
 
@@ -50,7 +40,7 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _split(text: str) -> list[str]:
+def split_words(text: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
 
 
@@ -58,14 +48,14 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _weights(templates: dict[str, str], df: dict[str, int], n: int) -> dict[str, dict[str, float]]:
+def unit_weights(templates: Iterable[Template], df: dict[str, int], n: int) -> list[dict[str, float]]:
     """Of each template: unit weights of its words."""
-    out = {}
-    for name, text in templates.items():
-        words = _split(text)
-        w = {t: words.count(t) * idf(df.get(t, 0), n) for t in set(words)}
+    out = []
+    for template in templates:
+        words = split_words(template.text)
+        w = {t: (1 + math.log(words.count(t))) * idf(df.get(t, 0), n) for t in sorted(set(words))}
         norm = math.sqrt(sum(x * x for x in w.values()))
-        out[name] = {t: x / norm for t, x in w.items()}
+        out.append({t: x / norm for t, x in w.items()})
     return out
 
 
@@ -73,10 +63,10 @@ def idf(df: int, n: int) -> float:
     return math.log((1 + n) / (1 + df)) + 1
 
 
-def key_words(weights: dict[str, dict[str, float]], threshold: float) -> list[str]:
-    """Words of which a line has at least one if it reaches the threshold with any template."""
+def key_words(weights: list[dict[str, float]], threshold: float) -> list[str]:
+    """Words of which a unit has at least one if it reaches the threshold with any template."""
     keys = set()
-    for w in weights.values():
+    for w in weights:
         light = 0.0
         for t, x in sorted(w.items(), key=lambda p: (p[1], p[0])):
             light += x * x
@@ -85,38 +75,72 @@ def key_words(weights: dict[str, dict[str, float]], threshold: float) -> list[st
     return sorted(keys)
 
 
-def licence_lines(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """file_id, path, line, license, score: the lines with a licence, of files (file_id, path, text)."""
+def any_of(words: list[str]) -> str:
+    """A pattern for one of the words, none of which begins another: it branches letter by letter, so that a text is not tried with each of them."""
+
+    def branch(rest: list[str]) -> str:
+        heads: dict[str, list[str]] = {}
+        for w in filter(None, rest):
+            heads.setdefault(w[0], []).append(w[1:])
+        ways = [re.escape(c) + branch(tails) for c, tails in sorted(heads.items())]
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})" if ways else ""
+
+    return branch(sorted(set(words)))
+
+
+def key_pattern(words: list[str]) -> str:
+    """One of the words as a whole word; ones that are the beginning of another are tried by themselves."""
+    begins = [w for w in words if any(x != w and x.startswith(w) for x in words)]
+    others = [w for w in words if w not in begins]
+    ways = [any_of(others), *map(re.escape, begins)]
+    return r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(w for w in ways if w) + r")(?![\p{L}\p{N}])"
+
+
+def _units(files: DataFrame) -> DataFrame:
+    """file_id, path, row (a hash of the text), kind (a place in UNITS), no, said."""
+    lines = F.split("text", "\n")
+    one = lambda kind, text: F.array(F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("no"), text.alias("said")))
+    many = lambda kind, texts: F.transform(texts, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("no"), x.alias("said")))
+    paragraphs = F.split("text", r"\n(?:[^\p{L}\p{N}\n]*\n)+")
+    every = F.concat(one(0, F.col("text")), one(1, F.array_join(F.slice(lines, 1, HEAD_LINES), "\n")), many(2, paragraphs), many(3, lines))
+    return files.select("file_id", "path", F.xxhash64("text").alias("row"), F.explode(every).alias("u")).select("file_id", "path", "row", "u.*").distinct()
+
+
+def licence_units(files: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """file_id, path, row, kind, no, license, score: the units with a licence, of files (file_id, path, text)."""
     spark = files.sparkSession
-    terms = sorted({t for text in templates.values() for t in _split(text)})
+    terms = sorted({t for x in templates for t in split_words(x.text)})
     vocabulary = spark.createDataFrame([(t,) for t in terms], "term string")
     n = files.count()
     found = files.select(F.explode(F.array_distinct(_words(F.coalesce("text", F.lit(""))))).alias("term")).join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     df = {r["term"]: r["df"] for r in found.collect()}  # the templates' words at most
-    weights = _weights(templates, df, n)
-    pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(key_words(weights, threshold)) + r")(?![\p{L}\p{N}])"
+    weights = unit_weights(templates, df, n)
+    pattern = key_pattern(key_words(weights, threshold))
 
-    some = files.where(F.col("text").rlike(pattern)).select("file_id", "path", F.posexplode(F.split("text", "\n")).alias("line", "said")).where(F.col("said").rlike(pattern))
-    tf = some.select("file_id", "path", "line", F.explode(_words(F.col("said"))).alias("term")).groupBy("file_id", "path", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
+    unit = ["file_id", "path", "row", "kind", "no"]
+    some = _units(files.where(F.col("text").rlike(pattern))).where(F.col("said").rlike(pattern))
+    tf = some.select(*unit, F.explode(_words(F.col("said"))).alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("tf"))
     idfs = spark.createDataFrame([(t, idf(df.get(t, 0), n)) for t in terms], "term string, idf double")
-    weighed = stored(tf.join(F.broadcast(idfs), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(idf(0, n)))).select("file_id", "path", "line", "term", "w"), "weighed")
-    norms = weighed.groupBy("file_id", "path", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = spark.createDataFrame([(name, t, x) for name, w in weights.items() for t, x in w.items()], "license string, term string, u double")
-    dots = weighed.join(F.broadcast(unit), "term").groupBy("file_id", "path", "line", "license").agg(F.sum(F.col("w") * F.col("u")).alias("dot"))
-    same = lambda a, b: a["file_id"].eqNullSafe(b["file_id"]) & a["path"].eqNullSafe(b["path"]) & (a["line"] == b["line"])
-    scored = dots.join(norms, same(dots, norms)).select(dots["file_id"], dots["path"], dots["line"], "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
-    best = F.max_by("license", F.struct(F.col("score"), -F.expr(f"array_position(array({','.join(repr(t) for t in sorted(templates))}), license)"))).alias("license")
-    return scored.groupBy("file_id", "path", "line").agg(best, F.max("score").alias("score"))
-
-
-def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """file_id, path, own_license, own_score, license, inherited_from (a directory; null for an own or no licence)."""
-    files = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), "text")
-    lines = licence_lines(files, templates, threshold)
-    own = stored(lines.groupBy("file_id", "path").agg(F.max_by("license", F.struct("score", (-F.col("line")).alias("l"))).alias("own_license"), F.max("score").alias("own_score")), "own")
+    weighed = stored(tf.join(F.broadcast(idfs), "term", "left").withColumn("w", (1 + F.log("tf")) * F.coalesce("idf", F.lit(idf(0, n)))).select(*unit, "term", "w"), "weighed")
+    norms = weighed.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    rows = [(k, x.license, len(x.must), t, u, int(t in x.must)) for k, (x, w) in enumerate(zip(templates, weights, strict=True)) for t, u in w.items()]
+    known = spark.createDataFrame(rows, "template int, license string, need int, term string, u double, must int")
+    dots = weighed.join(F.broadcast(known), "term").groupBy(*unit, "template", "license", "need").agg(F.sum(F.col("w") * F.col("u")).alias("dot"), F.sum("must").alias("met")).where("met = need")  # the templates' words
+    same = [dots[c].eqNullSafe(norms[c]) for c in unit]
+    return dots.join(norms, same).select(*(dots[c] for c in unit), "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).where(F.col("score") >= threshold)
+
+
+def scan(files: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """file_id, path, own_license, own_score, own_unit, license, inherited_from (a directory; null for an own or no licence)."""
+    files = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
+    units = licence_units(files, templates, threshold)
+    first = F.struct(F.col("license").isin(*LAST_RESORT).alias("last"), (-F.col("score")).alias("s"), "kind", "no", "license")  # the least comes first
+    own = units.groupBy("file_id", "path").agg(F.min(first).alias("b"))
+    kinds = F.array(*map(F.lit, UNITS))
+    own = stored(own.select("file_id", "path", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("own_score"), F.get(kinds, F.col("b.kind")).alias("own_unit")), "own")
     directory = F.regexp_extract("path", r"^(?s)(.*)/[^/]*$", 1)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    sources = own.where(name.rlike(LICENCE_FILE)).groupBy(directory.alias("source")).agg(F.max_by("own_license", F.struct("own_score", (-F.col("file_id")).alias("i"))).alias("source_license"))
+    sources = own.where(name.rlike(LICENCE_FILE)).groupBy(directory.alias("source")).agg(F.min_by("own_license", F.struct((-F.col("own_score")).alias("s"), "file_id", "path")).alias("source_license"))
     sources = stored(sources, "sources")
 
     folders = files.select(directory.alias("dir")).distinct()
@@ -127,17 +151,18 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: flo
     nearest = stored(nearest, "nearest")
 
     at = files.select("file_id", "path", directory.alias("dir"))
-    mine = own.select(F.col("file_id").alias("own_id"), F.col("path").alias("own_path"), "own_license", "own_score")
+    mine = own.select(F.col("file_id").alias("own_id"), F.col("path").alias("own_path"), "own_license", "own_score", "own_unit")
     with_own = at.join(_small(mine), F.col("file_id").eqNullSafe(F.col("own_id")) & (F.col("path") == F.col("own_path")), "left")
     return with_own.join(_small(nearest), "dir", "left").select(
-        "file_id", "path", "own_license", "own_score", F.coalesce("own_license", "dir_license").alias("license"),
+        "file_id", "path", "own_license", "own_score", "own_unit", F.coalesce("own_license", "dir_license").alias("license"),
         F.when(F.col("own_license").isNull() & F.col("dir_license").isNotNull(), F.col("dir_source")).alias("inherited_from"),
     )
 
 
 def files_of(docs: DataFrame) -> DataFrame:
-    """Documents as files of a tree: source/b<n>/d<n>/name; every tenth id is a licence file."""
-    i = F.coalesce("doc_id", F.lit(0))
-    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), i.cast("string"))).otherwise(F.concat(F.lit("f"), i.cast("string"), F.lit(".txt")))
+    """Documents as files of a tree: source/b<n>/d<n>/name; every tenth id is a licence file. Ids that are no whole numbers count by their hash."""
+    said = F.coalesce(F.col("doc_id").cast("string"), F.lit("0"))
+    i = F.coalesce(said.try_cast("long"), F.pmod(F.xxhash64(said), F.lit(1_000_000)))
+    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), said)).otherwise(F.concat(F.lit("f"), said, F.lit(".txt")))
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.concat(F.lit("b"), F.floor(i / 1000).cast("string")), F.concat(F.lit("d"), (F.floor(i / 50) % 20).cast("string")), name)
     return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")

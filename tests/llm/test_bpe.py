@@ -78,7 +78,7 @@ def test_orc_files(spark, docs, rows, library, tmp_path):
 
 def test_empty_tables(spark, empty, tmp_path):
     assert op01_bpe.encode_decode(empty).count() == 0
-    assert op10_counts.count_tokens(empty).count() == 0
+    assert op10_counts.apply_edits(op10_counts.build_trees(empty).withColumn("edits", op10_counts.sample_edits())).count() == 0
     op07_orc.write_tokens(empty, f"file://{tmp_path}/e")
     assert op07_orc.document_index(op07_orc.read_tokens(spark, f"file://{tmp_path}/e")).count() == 0
 
@@ -97,8 +97,26 @@ def test_token_tree(b):
             assert tree.text() == text and tree.total == len(b.encode(text))
 
 
-def test_counts_after_edits(docs, rows, library):
-    got = op10_counts.count_tokens(docs.withColumn("e", op10_counts.sample_edits()), edits_col="e").collect()
+def test_kept_trees(b):
+    """A tree that was stored goes on as the one that was not; only what edits touch is encoded."""
+    r = random.Random(17)
+    for _ in range(150):
+        text = "".join(r.choice(ALPHABET) for _ in range(r.randint(0, 300)))
+        size = r.choice([4, 16, 64])
+        tree = op10_counts.TokenTree(b, text, size)
+        for _ in range(4):
+            kept = op10_counts.TokenTree.kept(b, tree.text(), tree.chars, tree.tokens, size)
+            assert kept.encoded_chars == 0 and kept.total == tree.total
+            edit = (r.randint(0, 300), r.choice([0, 1, 30]), r.choice(["", "x y", "the  end "]))
+            tree.edit(*edit)
+            kept.edit(*edit)
+            assert (kept.text(), kept.total) == (tree.text(), tree.total) and kept.total == len(b.encode(kept.text()))
+            tree = kept
+
+
+def test_counts_after_edits(spark, docs, rows, library, tmp_path):
+    trees = op10_counts.store_trees(docs, f"file://{tmp_path}/t")
+    got = op10_counts.apply_edits(trees.withColumn("edits", op10_counts.sample_edits())).collect()
 
     def edited(t):
         n = len(t)
@@ -107,17 +125,24 @@ def test_counts_after_edits(docs, rows, library):
         at = min(max(n - 2, 0), len(t))
         return t[:at] + " end." + t[at + 3 :]
 
-    assert Counter((r["doc_id"], r["n_tokens"], r["n_tokens_edited"], sum(r["leaf_tokens"])) for r in got) == Counter((i, len(ids_of(library, t)), (m := len(ids_of(library, edited(t or "")))), m) for i, t in rows)
+    assert Counter((r["doc_id"], r["n_tokens"], r["n_tokens_edited"], r["text"], r["tokens"][1]) for r in got) == Counter((i, len(ids_of(library, t)), (m := len(ids_of(library, edited(t or "")))), edited(t or ""), m) for i, t in rows)
 
 
-def test_edits_touch_little(spark, b):
+def test_edits_touch_little(spark, b, tmp_path):
+    """Two rounds of edits on stored trees: what is encoded again is a few leaves for each edit, whatever the text's length."""
     text = "word and more " * 5000
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    trees = op10_counts.store_trees(spark.createDataFrame([(1, text), (None, text)], "doc_id long, text string"), f"file://{tmp_path}/t")
     edits = spark.createDataFrame([(1, 2, 30_000, 3, "new"), (1, 1, 10, 0, "x"), (1, 3, 5, None, None)], "doc_id long, seq int, position long, deleted long, inserted string")
-    r = op10_counts.count_tokens(op10_counts.attach_edits(df, edits), edits_col="edits").first()
-    assert r["chars_encoded"] == len(text) and r["chars_reencoded"] < 10 * op10_counts.LEAF_CHARS
-    once = text[:10] + "x" + text[10:]
-    assert r["n_tokens_edited"] == len(b.encode(once[:30_000] + "new" + once[30_003:]))
+    once = op10_counts.apply_edits(op10_counts.attach_edits(trees, edits))
+    rows = {r["doc_id"]: r for r in once.collect()}
+    said = text[:10] + "x" + text[10:]
+    said = said[:30_000] + "new" + said[30_003:]
+    assert rows[1]["text"] == said and rows[1]["n_tokens_edited"] == len(b.encode(said)) and rows[1]["chars_reencoded"] < 10 * op10_counts.LEAF_CHARS
+    assert (rows[None]["chars_reencoded"], rows[None]["n_tokens"]) == (0, len(b.encode(text)))
+    once.select("doc_id", "text", "chars", "tokens").write.parquet(f"file://{tmp_path}/u")
+    again = spark.read.parquet(f"file://{tmp_path}/u").withColumn("edits", op10_counts.sample_edits()).where("doc_id = 1")
+    r = op10_counts.apply_edits(again).first()
+    assert r["n_tokens"] == len(b.encode(said)) and r["n_tokens_edited"] == len(b.encode(r["text"])) and r["chars_reencoded"] < 10 * op10_counts.LEAF_CHARS
 
 
 def test_digests(spark, library):

@@ -31,15 +31,14 @@ def test_a_row_for_each(spark, name):
 
 
 def test_pipeline(spark):
+    """What comes out against the operators' own decisions, and groups by brute force."""
     import corpus_pipeline
+    from test_texts import brute_components
 
     got = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, SF).collect()}
-    all_rows = {n: {r["doc_id"]: r for r in QUERIES[n](spark, SF).collect()} for n in ("op1_bpe_tree", "op3_jaccard_join", "op5_quality_crf", "op6_decontamination")}
-    good = {i for i, r in all_rows["op5_quality_crf"].items() if r["kept"]}
-    groups: dict[int, list[int]] = {}
-    for i in good:
-        groups.setdefault(all_rows["op3_jaccard_join"][i]["component_id"], []).append(i)
-    clean = {i for i in good if not all_rows["op6_decontamination"][i]["contaminated"]}
-    assert set(got) <= clean
-    assert clean & {min(g) for g in groups.values()} <= set(got)
+    all_rows = {n: {r["doc_id"]: r for r in QUERIES[n](spark, SF).collect()} for n in ("op1_bpe_tree", "op5_quality_crf", "op6_decontamination")}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    good = [(i, texts[i]) for i, r in sorted(all_rows["op5_quality_crf"].items()) if r["kept"]]
+    first = {c for _, _, c in brute_components(good, corpus_pipeline.NEAR_WIDTH, corpus_pipeline.NEAR_PERCENT)}
+    assert set(got) == {i for i in first if not all_rows["op6_decontamination"][i]["contaminated"]}
     assert all(n == all_rows["op1_bpe_tree"][i]["n_tokens"] for i, n in got.items())

@@ -69,6 +69,18 @@ def test_keep_one(docs, rows):
     assert op03_jaccard.keep_one(docs).columns == docs.columns
 
 
+def test_stages_with_clashing_names(spark):
+    """Columns named as the stages name theirs; rows that repeat id and text are one, whose other columns come first."""
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, words, 5, "b", 1, "k"), (1, words, 5, "a", 1, "k"), (2, words, 6, "c", 2, "k"), (3, None, 7, "d", 3, "k"), (3, None, 7, "d", 3, "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_id long, kept_mark string, KEPT_ID_ long, dirty_key string")
+    got = op03_jaccard.keep_one(df)
+    assert got.columns == df.columns and sorted((tuple(r) for r in got.collect()), key=str) == [(1, words, 5, "a", 1, "k"), (3, None, 7, "d", 3, "k")]
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    clean = op06_decontam.clean_documents(df, items)
+    assert clean.columns == df.columns and {r["doc_id"] for r in clean.collect()} == {3}
+
+
 def test_empty_join(empty):
     assert op03_jaccard.jaccard_components(empty).count() == 0
 

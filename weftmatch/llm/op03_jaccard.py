@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, column, hash_spans, hash_windows, mix, prepare, slices, stored, text_bytes, words_of
+from .common import LOWER, column, hash_spans, hash_windows, mix, prepare, slices, stored, text_bytes, unlike, words_of
 from .components import connected
 
 WIDTH, PERCENT = 4, 85
@@ -382,20 +382,24 @@ def _sets_of(owners: DataFrame, base: DataFrame, width: int) -> DataFrame:
     return joined.mapInArrow(made, "c long, n int, tokens binary, blocks array<struct<token: long, salt: long>>")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with all its columns: that with the smallest id (no id comes last), then text hash.
 
-    Documents without words stay. Rows that agree in id and text are one document.
+    Documents without words stay. Rows that agree in id and text are one document: of several, the one whose other columns
+    come first as JSON text stays.
     """
-    rows, labels = _join(docs, id_col, text_col, WIDTH, PERCENT)
+    rows, labels = _join(docs, id_col, text_col, width, percent)
     group = F.coalesce(F.col("root").cast("string"), F.hex("key"))
     first = rows.where("n > 0").join(labels, "key", "left").groupBy(group.alias("g")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("first"))
     chosen = stored(first.select("first.id", "first.mark").unionByName(rows.where("n = 0").select("id", "mark").distinct()), "chosen")
-    wanted = chosen.select(F.col("id").alias("_kept_id"), F.col("mark").alias("_kept_mark"))
+    kept_id, kept_mark = unlike(docs.columns, "kept_id"), unlike(docs.columns, "kept_mark")
+    wanted = chosen.select(F.col("id").alias(kept_id), F.col("mark").alias(kept_mark))
     if chosen.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    kept = docs.join(wanted, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (mark == F.col("_kept_mark")), "left_semi")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    kept = docs.join(wanted, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_mark)), "left_semi")
     if rows.select("id", "mark").distinct().count() == rows.count():
         return kept
-    return kept.dropDuplicates([id_col, text_col])
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")  # a row for each id and text
+    least = kept.groupBy(F.col(id_col).alias("i"), F.xxhash64(text).alias("m")).agg(F.min_by(whole, F.to_json(whole)).alias("whole"))
+    return least.select("whole.*")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unlike
 
 WIDTH = 10
 #: Rows up to which a table made from the benchmark, or of document keys, is broadcast; a larger one is shuffled.
@@ -123,4 +123,5 @@ def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     windows = stored(item_windows(items, width, null_ids=null_ids).select("window").distinct().select(F.monotonically_increasing_id().alias("wid"), "window"), "windows")
     dirty = stored(exact_matches(keyed, windows).select("key").distinct(), "dirty")
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return docs.join(_small(dirty.select(F.col("key").alias("_dirty_key"))), key == F.col("_dirty_key"), "left_anti")
+    name = unlike(docs.columns, "dirty_key")
+    return docs.join(_small(dirty.select(F.col("key").alias(name))), key == F.col(name), "left_anti")

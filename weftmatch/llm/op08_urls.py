@@ -18,8 +18,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_RULES, TRAIN_URLS = 1_000, 5_000
-GRAMS, FEATURES = (3, 4), 4_096
+MAX_RULES, TRAIN_URLS, REGULARISATION = 1_000, 5_000, 0.0003
+GRAMS, FEATURES = (3, 4, 5), 131_072
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,18 +37,45 @@ class Rule:
 #: The rules of the registered query.
 RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"), Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"))
 
-#: Words that the labelled hosts and paths are made of; most hosts of the table are harmless, and many of those have invented names.
-BAD = "cheap-pills spam-farm casino-bonus win-prize free-money hot-deals loan-fast pills-shop spam-links lucky-slots".split()
-GOOD = "library weather history-notes cooking garden-journal music-review school-news travel-stories science-daily town-council".split()
-
-SYLLABLES = "an er in or th tion st re".split()
-
-
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """A small labelled table: url, label (1: block)."""
-    names = GOOD + [a + b + c for a in SYLLABLES for b in SYLLABLES for c in SYLLABLES[:3]]
-    shapes = ["https://{w}.example.com/en/{n}", "http://www.{w}.example.org/fr/{n}.html", "https://blog.{w}.example.net/de/{n}/", "http://m.{w}.example.org/es/{n}?page=2&ref=x", "https://{w}.org/", "http://www.{w}.com/index.html"]
-    rows = [(shape.format(w=word, n=100 + 7 * k), label) for label, group in ((1, BAD), (0, names)) for k, word in enumerate(group) for shape in shapes]
+#: Fixed values of the labelled table: usual words of unwanted sites by kind, and of harmless ones by subject.
+UNWANTED = {
+    "adult": "adult porn sex xxx nude erotic escort camgirls fetish milf hentai playmates",
+    "adverts": "ads adserver adclick banner popunder track tracker tracking affiliate clicks pixel doubleclick",
+    "gambling": "casino poker slots roulette betting bets jackpot lotto bingo blackjack wager bookmaker",
+    "pharmacy": "pills pharmacy viagra cialis meds drugstore steroids painkillers tramadol xanax supplements dietpills",
+    "spam": "spam linkfarm seolinks backlinks freemoney prize winner giveaway payday loans replica getrich",
+    "malware": "keygen warez crack serials phishing verify-account login-update malware torrentz hacked toolbar-download antivirus-alert",
+}
+HARMLESS = {
+    "places": "city village harbor museum library gallery theatre garden park station market bridge",
+    "learning": "school university college science history physics chemistry language grammar lecture campus research",
+    "news": "news daily weekly journal press report herald tribune gazette radio weather archive",
+    "living": "recipes cooking kitchen travel hotel family health dental clinic music dance photo",
+    "work": "software engineering law office bank insurance build repair energy transport farm craft",
+    "people": "anna martin peter schmidt garcia dubois rossi kowalski novak jensen silva tanaka",
+}
+CONSONANTS, VOWELS = "bcdfghjklmnprstvwz", "aeiou"
+
+
+def labelled_words() -> list[tuple[str, int]]:
+    """The words of both kinds, and as many invented harmless names, which most hosts have: by rule, consonant and vowel in turn, or closed syllables."""
+    words = [(w, label) for label, kinds in ((1, UNWANTED), (0, HARMLESS)) for group in kinds.values() for w in group.split()]
+    names = []
+    for k in range(300):
+        x, name = 7919 * k + 31, ""
+        for _ in range(2 + k % 3):
+            x = (x * 1103515245 + 12345) % 2**31
+            name += CONSONANTS[(x >> 8) % len(CONSONANTS)] + VOWELS[(x >> 16) % len(VOWELS)] + (CONSONANTS[(x >> 20) % len(CONSONANTS)] if k % 2 else "")
+        names.append((name, 0))
+    return words + names
+
+
+SHAPES = ("https://{w}.com/", "http://www.{w}.org/index.html", "http://m.{w}.info/page?id={n}", "https://best-{w}.com/about/", "http://{w}-online.org/{n}.html", "https://my{w}.net/a/b/{n}", "https://{w}24.net/en/{n}", "http://blog.{w}shop.example/fr/{n}/")
+
+
+def labelled_urls(spark: SparkSession, words: list[tuple[str, int]] | None = None) -> DataFrame:
+    """A small labelled table: url, label (1: block). Each word stands in hosts of several shapes, so that shapes say nothing."""
+    rows = [(shape.format(w=w, n=100), label) for w, label in words or labelled_words() for shape in SHAPES]
     return spark.createDataFrame(rows, "url string, label int")
 
 
@@ -76,8 +103,13 @@ def rule_columns(rules: tuple[Rule, ...], h: Column, p: Column) -> tuple[Column,
 
 
 def _grams(text: Column) -> Column:
-    own = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.concat(*(F.when(F.char_length(own) >= n, F.transform(F.sequence(F.lit(1), F.char_length(own) - n + 1), lambda i, n=n: F.substring(own, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in GRAMS))
+    own = F.concat(F.lit("^"), F.translate(text, "123456789", "000000000"), F.lit("$"))  # which number it is says nothing
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.char_length(own) - n + 1)
+        return F.when(F.char_length(own) >= n, F.transform(starts, lambda i: F.substring(own, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of, GRAMS))
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -93,7 +125,7 @@ def train(labelled: DataFrame):
     if len(shares) < 2:
         return None
     rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(shares[0.0] / shares[1.0])).otherwise(1.0))  # both kinds weigh the same
-    return LogisticRegression(maxIter=50, regParam=0.001, featuresCol="features", labelCol="label", weightCol="weight").fit(_features(rows).coalesce(1))  # TRAIN_URLS rows at most
+    return LogisticRegression(maxIter=60, regParam=REGULARISATION, standardization=False, featuresCol="features", labelCol="label", weightCol="weight").fit(_features(rows).coalesce(1))  # TRAIN_URLS rows at most
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -5,6 +5,10 @@ context (between a character that isn't white space and one that is), so that co
 trees over the leaves hold sums of characters and of tokens. An edit finds its leaves by descending the tree of
 characters, encodes only those again, with neighbours while a cut is no longer valid, and updates the sums above them.
 
+Trees are a table, one row for each document: the text, and both trees as arrays (sums[1] is the root, the leaves stand at
+the end). `build_trees` makes it, and is the only step that encodes whole texts; `apply_edits` takes it with edits and gives
+the table after them, whose untouched leaves keep their counts without being encoded. Both may be stored and read again.
+
 Defined results: a null text is the empty text with 0 tokens; a null list of edits is empty; edits are applied in
 their order, each to the text that the one before left; positions beyond the text mean its end, negative ones its
 start; a null insertion is empty; rows with repeated or null ids stay rows of their own; other columns are ignored.
@@ -40,9 +44,22 @@ class TokenTree:
     """Leaves of one document with sums of characters and tokens above them."""
 
     def __init__(self, b: bpe.ByteBpe, text: str, leaf: int = LEAF_CHARS):
-        self.b, self.leaf, self.encoded_chars = b, leaf, 0
+        self.b, self.leaf, self.encoded_chars, self.encoded_leaves = b, leaf, 0, 0
         self._build(cut(text, leaf))
 
+    @classmethod
+    def kept(cls, b: bpe.ByteBpe, text: str, chars: list[int], tokens: list[int], leaf: int = LEAF_CHARS) -> TokenTree:
+        """A stored tree; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.b, tree.leaf, tree.encoded_chars, tree.encoded_leaves = b, leaf, 0, 0
+        tree.n, tree.chars, tree.tokens, tree.leaves, at = len(chars) // 2, list(chars), list(tokens), [], 0
+        for size in chars[tree.n :]:
+            tree.leaves.append(text[at : at + size])
+            at += size
+        while tree.leaves and not tree.leaves[-1]:
+            tree.leaves.pop()
+        return tree
+
     def _build(self, leaves: list[str], counts: list[int] | None = None) -> None:
         self.leaves = leaves
         n = 1
@@ -58,6 +75,7 @@ class TokenTree:
 
     def _count(self, text: str) -> int:
         self.encoded_chars += len(text)
+        self.encoded_leaves += 1
         return len(self.b.encode(text))
 
     @property
@@ -117,38 +135,68 @@ class TokenTree:
             self._build(self.leaves[:i] + parts + self.leaves[j + 1 :], counts[:i] + [self._count(x) for x in parts] + counts[j + 1 :])
 
 
-def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits_col: str | None = None, vocab: str | None = None) -> DataFrame:
-    """id, n_tokens, n_tokens_edited, chars_encoded (at first), chars_reencoded (for edits), leaf_tokens array<int> (leaves after the edits).
+_TREE = "text string, chars array<int>, tokens array<int>"
 
-    edits_col: array of struct(position long, deleted long, inserted string).
-    """
+
+def _tree_columns(trees: list[TokenTree]) -> list[pa.Array]:
+    return [pa.array([t.text() for t in trees], pa.string()), pa.array([t.chars for t in trees], pa.list_(pa.int32())), pa.array([t.tokens for t in trees], pa.list_(pa.int32()))]
+
+
+def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None) -> DataFrame:
+    """id, text, chars, tokens: the segment tree of every document."""
     prepare(docs.sparkSession)
     path = vocab or bpe.default_path()
     kind = docs.schema[id_col].dataType.simpleString()
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        b = bpe.load(path)
+        for batch in batches:
+            trees = [TokenTree(b, t) for t in column(batch, "text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_tree_columns(trees)], ["id", "text", "chars", "tokens"])
+
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return base.mapInArrow(built, f"id {kind}, {_TREE}").withColumnRenamed("id", id_col)
+
+
+def store_trees(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None) -> DataFrame:
+    """The table of trees, written to a folder and read again."""
+    trees = build_trees(docs, id_col, text_col, vocab)
+    trees.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(trees.schema).parquet(folder)
+
+
+def apply_edits(trees: DataFrame, edits_col: str = "edits", id_col: str = "doc_id", vocab: str | None = None) -> DataFrame:
+    """id, text, chars, tokens after the edits; n_tokens (before), n_tokens_edited, chars_reencoded, leaves_reencoded.
+
+    edits_col: array of struct(position long, deleted long, inserted string), beside the columns of a table of trees.
+    """
+    prepare(trees.sparkSession)
+    path = vocab or bpe.default_path()
+    kind = trees.schema[id_col].dataType.simpleString()
     none = F.array().cast("array<struct<position:bigint,deleted:bigint,inserted:string>>")
-    edits = F.coalesce(F.col(edits_col), none) if edits_col else none
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), edits.alias("edits"))
+    base = trees.select(F.col(id_col).alias("id"), "text", "chars", "tokens", F.coalesce(F.col(edits_col), none).alias("edits"))
+    names = ["n_tokens", "n_tokens_edited", "chars_reencoded", "leaves_reencoded"]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bpe.load(path)
         for batch in batches:
-            rows = []
-            for text, edits in zip(column(batch, "text").to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tree = TokenTree(b, text)
-                first, chars = tree.total, tree.encoded_chars
+            after, rows = [], []
+            for text, chars, tokens, edits in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                tree = TokenTree.kept(b, text, chars, tokens)
                 for e in edits:
                     tree.edit(e["position"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                rows.append((first, tree.total, chars, tree.encoded_chars - chars, [n for n in tree.tokens[tree.n : tree.n + len(tree.leaves)] if n]))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.list_(pa.int32()))], ["id", "n_tokens", "n_tokens_edited", "chars_encoded", "chars_reencoded", "leaf_tokens"])
+                after.append(tree)
+                rows.append((tokens[1], tree.total, tree.encoded_chars, tree.encoded_leaves))
+            counts = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_tree_columns(after), *(pa.array(c, pa.int64()) for c in counts)], ["id", "text", "chars", "tokens", *names])
 
-    return base.mapInArrow(counted, f"id {kind}, n_tokens long, n_tokens_edited long, chars_encoded long, chars_reencoded long, leaf_tokens array<int>").withColumnRenamed("id", id_col)
+    return base.mapInArrow(edited, f"id {kind}, {_TREE}, {', '.join(f'{n} long' for n in names)}").withColumnRenamed("id", id_col)
 
 
-def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs with a column edits, from rows (id, seq, position, deleted, inserted); edits of null ids are left out."""
+def attach_edits(trees: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """trees with a column edits, from rows (id, seq, position, deleted, inserted); edits of null ids are left out."""
     lists = edits.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("position").cast("long").alias("position"), F.col("deleted").cast("long").alias("deleted"), "inserted"))), lambda e: F.struct(e["position"].alias("position"), e["deleted"].alias("deleted"), e["inserted"].alias("inserted"))).alias("edits"))
-    return docs.drop("edits").join(lists, id_col, "left")
+    return trees.drop("edits").join(lists, id_col, "left")
 
 
 def sample_edits(text: str = "text") -> "F.Column":

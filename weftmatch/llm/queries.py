@@ -56,9 +56,10 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = op10_counts.count_tokens(docs.withColumn("edits", op10_counts.sample_edits()), edits_col="edits")
-    return counted.select("doc_id", "n_tokens", "n_tokens_edited", "chars_encoded", "chars_reencoded", F.size("leaf_tokens").cast("long").alias("n_leaves"))
+    trees = op10_counts.store_trees(table(spark, sf_dir, "documents").select("doc_id", "text"), new_folder(spark, "trees"))
+    counted = op10_counts.apply_edits(trees.withColumn("edits", op10_counts.sample_edits()))
+    leaves = F.size(F.filter(F.slice("tokens", F.floor(F.size("tokens") / 2).cast("int") + 1, F.greatest(F.lit(1), F.size("tokens"))), lambda n: n > 0)).cast("long")
+    return counted.select("doc_id", "n_tokens", "n_tokens_edited", F.char_length("text").cast("long").alias("n_chars_edited"), "chars_reencoded", "leaves_reencoded", leaves.alias("n_leaves"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it
 it, read again, to the next one. All stages but the last return the columns of documents.
 
 1. quality: documents that the quality rules reject go.
-2. near_duplicates: one document of each group of the n-gram Jaccard join stays, the one whose id names the group; of rows
-   that repeat this id and its text, all stay that are not equal in every column.
+2. near_duplicates: one document of each group of the n-gram Jaccard join stays, the one whose id names the group; rows that
+   repeat this id and its text are one document. Sets of NEAR_WIDTH words, similarity NEAR_PERCENT or more.
 3. decontamination: documents with a word inside a benchmark window go.
 4. token_ids: the documents that are left, encoded and decoded: doc_id, n_tokens, token_ids, decoded_sha256.
 """
@@ -21,12 +21,16 @@ from weftmatch.llm import op01_bpe, op03_jaccard, op05_quality, op06_decontam
 from weftmatch.llm.common import stored, table
 
 
+#: Words of a shingle and similarity from which documents are near duplicates, in this stage.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op05_quality.filter_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op03_jaccard.keep_one(docs)
+    return op03_jaccard.keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

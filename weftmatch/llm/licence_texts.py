@@ -51,7 +51,6 @@ TEMPLATES: tuple[Template, ...] = (
     Template("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, version 2.0.", ("mozilla",)),
     # titles
     Template("MIT", "MIT License", ("mit",)),
-    Template("MIT", "The MIT License (MIT)", ("mit",)),
     Template("ISC", "ISC License", ("isc",)),
     Template("BSD-2-Clause", "BSD 2-Clause License", ("bsd", "2")),
     Template("BSD-3-Clause", "BSD 3-Clause License", ("bsd", "3")),

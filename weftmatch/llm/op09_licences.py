@@ -5,7 +5,7 @@ are (1 + ln tf) * idf. Document frequencies of the templates' words are counted
 count as found in no file. A unit has a licence when its cosine to a template is THRESHOLD or more and it has the words
 that the template must have. Such a unit holds a key word: the lightest words of a template, as long as their squared
 weights stay below THRESHOLD**2, cannot reach it alone; the other words are key words. Units without any are left out
-beforehand, exactly. A file's own licence is that of its best unit; a licence of last resort counts only where no other is
+beforehand, exactly, and so are units with so many words of their own that they cannot reach it. A file's own licence is that of its best unit; a licence of last resort counts only where no other is
 found.
 
 A file without a licence of its own inherits from the nearest directory, its own or one above, that has a licence
@@ -102,8 +102,25 @@ def _units(files: DataFrame) -> DataFrame:
     one = lambda kind, text: F.array(F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("no"), text.alias("said")))
     many = lambda kind, texts: F.transform(texts, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("no"), x.alias("said")))
     paragraphs = F.split("text", r"\n(?:[^\p{L}\p{N}\n]*\n)+")
-    every = F.concat(one(0, F.col("text")), one(1, F.array_join(F.slice(lines, 1, HEAD_LINES), "\n")), many(2, paragraphs), many(3, lines))
-    return files.select("file_id", "path", F.xxhash64("text").alias("row"), F.explode(every).alias("u")).select("file_id", "path", "row", "u.*").distinct()
+    none = F.array().cast("array<struct<kind:int,no:int,said:string>>")
+    # a unit that is all of a larger one scores as that one does, which comes first
+    parts = [F.when(F.size(lines) > HEAD_LINES, one(1, F.array_join(F.slice(lines, 1, HEAD_LINES), "\n"))), F.when(F.size(paragraphs) > 1, many(2, paragraphs)), F.when(F.size(lines) > 1, many(3, lines))]
+    every = F.concat(one(0, F.col("text")), *(x.otherwise(none) for x in parts))
+    return files.select("file_id", "path", F.xxhash64("text").alias("row"), F.explode(every).alias("u")).select("file_id", "path", "row", "u.*")
+
+
+def _can_reach(said: Column, idfs: dict[str, float], rare: float, threshold: float) -> Column:
+    """Whether enough of a unit's weight is on the templates' words: its cosine is at most the share of its norm that they have.
+
+    Each other word weighs `rare` at least, so the number of distinct other words bounds the rest of the norm from below.
+    """
+    words = _words(said)
+    known = F.array_intersect(words, F.array(*map(F.lit, idfs)))
+    weight = F.create_map(*(F.lit(x) for pair in idfs.items() for x in pair))
+    square = lambda t: F.pow((1 + F.log(F.size(F.filter(words, lambda w: w == t)).cast("double"))) * F.element_at(weight, t), F.lit(2.0))
+    inside = F.aggregate(known, F.lit(0.0), lambda acc, t: acc + square(t))
+    others = (F.size(F.array_distinct(words)) - F.size(known)) * rare**2
+    return inside * (1 - threshold**2) >= threshold**2 * others - 1e-6
 
 
 def licence_units(files: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -118,9 +135,10 @@ def licence_units(files: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     pattern = key_pattern(key_words(weights, threshold))
 
     unit = ["file_id", "path", "row", "kind", "no"]
-    some = _units(files.where(F.col("text").rlike(pattern))).where(F.col("said").rlike(pattern))
+    idf_of = {t: idf(df.get(t, 0), n) for t in terms}
+    some = _units(files.where(F.col("text").rlike(pattern))).where(F.col("said").rlike(pattern)).where(_can_reach(F.col("said"), idf_of, idf(0, n), threshold)).distinct()
     tf = some.select(*unit, F.explode(_words(F.col("said"))).alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("tf"))
-    idfs = spark.createDataFrame([(t, idf(df.get(t, 0), n)) for t in terms], "term string, idf double")
+    idfs = spark.createDataFrame(list(idf_of.items()), "term string, idf double")
     weighed = stored(tf.join(F.broadcast(idfs), "term", "left").withColumn("w", (1 + F.log("tf")) * F.coalesce("idf", F.lit(idf(0, n)))).select(*unit, "term", "w"), "weighed")
     norms = weighed.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     rows = [(k, x.license, len(x.must), t, u, int(t in x.must)) for k, (x, w) in enumerate(zip(templates, weights, strict=True)) for t, u in w.items()]

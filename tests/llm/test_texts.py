@@ -45,7 +45,7 @@ def test_jaccard(docs, rows):
     assert components(docs) == brute_components(rows)
 
 
-@pytest.mark.parametrize("settings", [{}, {"GROUP": 5, "TILE": 4, "MEETINGS": 1, "FREQUENT": 256}, {"MU": 0.01, "HEAP": 10**9, "MEETINGS": 2}])
+@pytest.mark.parametrize("settings", [{}, {"GROUP": 5, "TILE": 4, "MEETINGS": 1, "FREQUENT": 256}, {"MU": 1.0, "MEETINGS": 2, "BROADCAST_ROWS": 0}])
 def test_jaccard_of_edited_copies(spark, monkeypatch, settings):
     """A large group of near copies around the threshold; small limits make every way of meeting happen."""
     for k, v in settings.items():

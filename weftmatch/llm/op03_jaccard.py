@@ -9,9 +9,9 @@ rarest shingles (the most frequent ones come last in a common order), which keep
 2. Lists of classes by rare shingle; lists with one class go. Every pair that links shares a list that stays.
 3. Classes meet in blocks: those of the MEETINGS most frequent lists they are in. Large blocks are split by a hash of the
    class, to about GROUP classes and POSTINGS shingles. A block is joined exactly by T-occurrence search in its inverted
-   index (DivideSkip: of the lists of a set's shingles the L longest are set apart, the short ones are merged, by a heap
-   or, when they are many, by counting; what occurs T - L times is probed in the long lists by binary search). Sets that
-   are connected already need no link between them.
+   index (DivideSkip: of the lists of a set's shingles the L longest are set apart, the short ones are merged by a heap; what
+   occurs T - L times is probed in the long lists by binary search). Sets that are connected already need no link between
+   them.
 4. Components of these links. Pairs that share a list, but no block, and are in different components are left; all of
    them are compared in full, whatever their number, so that no link between components is lost. Long lists are cut into
    tiles of TILE classes, and pairs of tiles are looked at in parallel.
@@ -41,15 +41,15 @@ from .components import connected
 
 WIDTH, PERCENT = 4, 85
 #: Fingerprints whose frequency is known to all tasks; they only order shingles.
-FREQUENT = 2**24
+FREQUENT = 2**22
 #: Classes, and shingles of theirs, that meet in one block.
 GROUP, POSTINGS, MEETINGS = 8_192, 3_000_000, 3
 #: Classes of a list of which all pairs are looked at in one task.
-TILE = 4_096
-#: Rows up to which a table of class numbers is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 2_000_000
-#: Weight of a probe against a step of the merge (DivideSkip), and postings up to which a heap merges them.
-MU, HEAP = 1.0, 64
+TILE = 512
+#: Rows (of about 100 bytes: numbers and at most MEETINGS blocks) up to which a table of classes is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 300_000
+#: Weight of a probe against a step of the merge (DivideSkip): probes of a search are made at once, steps one by one.
+MU = 0.02
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -103,17 +103,10 @@ class Block:
         order = np.argsort(length, kind="stable")
         apart = min(need - 1, int(need / (MU * math.log2(1 + int(length[order[-1]])) + 1)))
         short, long = at[order[: len(at) - apart]], at[order[len(at) - apart :]]
-        total = int(length[order[: len(at) - apart]].sum())
-        if total <= HEAP:
-            merged = heapq.merge(*(self.postings[self.starts[t] : self.starts[t + 1]].tolist() for t in short))
-            found = [(i, n) for i, same in groupby(merged) if (n := sum(1 for _ in same)) >= need - apart and i < q]
-            sets, counts = np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], np.int64)
-        else:
-            lengths = self.starts[short + 1] - self.starts[short]
-            places = np.arange(total) + np.repeat(self.starts[short] - np.cumsum(lengths) + lengths, lengths)
-            counts = np.bincount(self.postings[places], minlength=q)[:q]
-            sets = np.flatnonzero(counts >= need - apart)
-            counts = counts[sets]
+        lists = (self.postings[self.starts[t] : self.starts[t + 1]] for t in short)
+        merged = heapq.merge(*(x[: np.searchsorted(x, q)].tolist() for x in lists))
+        found = [(i, n) for i, same in groupby(merged) if (n := sum(1 for _ in same)) >= need - apart]
+        sets, counts = np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], np.int64)
         if len(sets) and apart:
             wanted = (long * np.int64(len(self.sets)))[:, None] + sets[None, :]
             place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one Arrow batch between the JVM and Python. Texts are long, so that the default of 10,000 rows is too much memory.
-BATCH_ROWS = 256
+BATCH_ROWS = 128
 #: Bytes of text that the vectorised functions work on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 400_000
 
 _folders: dict[str, str] = {}
 
@@ -71,6 +72,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """fn, after which a Python worker gives back the memory that it no longer uses: workers live on while other stages run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+            if trim:
+                trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import column, prepare
+from .common import column, lean, prepare
 
 #: Characters of a part, and parts of one document that are joined in one task.
 PART_CHARS, FAN_IN = 65_536, 32
@@ -36,12 +36,14 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
+    @lean
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bpe.load(path)
         for batch in batches:
             ids = [b.encode_tree(t, leaf_chars) for t in column(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _arrow(ids), pa.array([b.decode(x) for x in ids], pa.string())], ["id", "token_ids", "decoded"])
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bpe.load(path)
         for batch in batches:
@@ -50,6 +52,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 n = len(parts)
                 yield pa.RecordBatch.from_arrays([pa.array([row["key"]] * n, pa.int64()), pa.array([row["id"]] * n, batch.schema.field("id").type), pa.array(range(n), pa.int32()), pa.array(parts, pa.string())], ["key", "id", "part", "text"])
 
+    @lean
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bpe.load(path)
         for batch in batches:
@@ -62,6 +65,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ids = b.concatenate([np.frombuffer(r["ids"], "<u4").tolist() for r in rows])
         return pa.table({"key": parts.column("key")[:1], "id": parts.column("id")[:1], "part": pa.array([rows[0]["part"] // fan_in], pa.int32()), "ids": _arrow([ids])})
 
+    @lean
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bpe.load(path)
         for batch in batches:

@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, column, hash_spans, hash_windows, mix, prepare, slices, stored, text_bytes, unlike, words_of
+from .common import LOWER, column, hash_spans, hash_windows, lean, mix, prepare, slices, stored, text_bytes, unlike, words_of
 from .components import connected
 
 WIDTH, PERCENT = 4, 85
 #: Fingerprints whose frequency is known to all tasks; they only order shingles.
-FREQUENT = 2**22
+FREQUENT = 2**24
 #: Classes, and shingles of theirs, that meet in one block.
 GROUP, POSTINGS, MEETINGS = 8_192, 3_000_000, 3
 #: Classes of a list of which all pairs are looked at in one task.
@@ -147,6 +147,7 @@ def _bits(docs: DataFrame) -> int:
 def frequent_fingerprints(base: DataFrame, bits: int, width: int) -> DataFrame:
     """bucket, fps (binary: sorted 32-bit numbers), tiers (binary: logarithms of their document frequency): at most FREQUENT fingerprints, the first 32 bits of shingles, those of each bucket with the most documents."""
 
+    @lean
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
 
@@ -208,6 +209,7 @@ def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], wi
     shared = base.sparkSession.sparkContext.broadcast(hot)  # FREQUENT numbers at most
     del hot
 
+    @lean
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fps, tiers = shared.value
         for batch in batches:
@@ -229,6 +231,7 @@ def _prefixes(base: DataFrame, kind: str, hot: tuple[np.ndarray, np.ndarray], wi
 def _join_blocks(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links inside blocks (token and salt) that connect what any links connect."""
 
+    @lean
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, names, held = None, [], []
 
@@ -262,6 +265,7 @@ def _blocks(lists: DataFrame) -> DataFrame:
 def _left_pairs(named: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of a list (c, n, root, blocks, token, cnt) that have met in no block, are in different components, and have sizes that allow a link."""
 
+    @lean
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
@@ -308,6 +312,7 @@ def _small(df: DataFrame) -> DataFrame:
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link."""
 
+    @lean
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -365,6 +370,7 @@ def _sets_of(owners: DataFrame, base: DataFrame, width: int) -> DataFrame:
     wanted = _small(owners.select("c", F.col("id").alias("own"), "key", "blocks"))
     joined = base.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("text", "c", "key", "blocks")
 
+    @lean
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(column(batch, "text"), width))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import column, hash_spans, hash_windows, mix, prepare, slices, text_bytes, unlike, words_of
+from .common import column, hash_spans, hash_windows, lean, mix, prepare, slices, text_bytes, unlike, words_of
 
 #: Labelled documents, and pieces of PIECE neighbouring lines of each, that the chain is fitted on: those whose hashes are
 #: lowest, wherever in a text they stand (training alone is bounded).
@@ -230,6 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.min(F.col("quality").cast("int")).alias("quality")).orderBy(F.xxhash64("id"), "id").limit(train_docs)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")  # train_docs rows at most
 
+    @lean
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, quality = column(batch, "text"), batch.column(2).to_pylist()
@@ -252,6 +253,7 @@ def judge(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col
     prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @lean
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), *_verdicts(column(batch, "text"), chain, share)], ["id", *_NAMES])
@@ -284,6 +286,7 @@ def filter_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     chain = train(docs, labels, id_col, text_col)
     place, width = docs.columns.index(text_col), len(docs.columns)
 
+    @lean
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place)

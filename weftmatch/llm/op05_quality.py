@@ -3,7 +3,7 @@
 Each line with a word has features (length, symbols, capitals, digits, line end, repeats inside it and in the text, place).
 A chain of two labels, boilerplate and content, is trained on lines of a bounded number of labelled documents. Lines of
 documents of low quality are boilerplate. So are, in documents of high quality, lines that repeat an earlier line of the
-text and lines that recur in RECUR documents or more, each time between other lines (so that copies of a document are no
+text and lines that recur in RECUR documents or more, most of which are unrelated (so that copies of a document are no
 recurrence); their other lines are content. Viterbi decoding labels the lines of every document; the share of words in
 content lines decides.
 
@@ -29,8 +29,8 @@ from .common import column, hash_spans, hash_windows, lean, mix, prepare, slices
 #: Labelled documents, and pieces of PIECE neighbouring lines of each, that the chain is fitted on: those whose hashes are
 #: lowest, wherever in a text they stand (training alone is bounded).
 TRAIN_DOCS, TRAIN_PIECES, PIECE = 2_000, 8, 32
-#: Documents in which a line recurs between other lines from which it is boilerplate.
-RECUR = 3
+#: Unrelated documents in which a line recurs from which it is boilerplate, and their least share among those that have it.
+RECUR, UNRELATED = 3, 0.7
 #: Share of words in content lines from which a document is kept.
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
@@ -159,17 +159,17 @@ class Chain:
         return np.array(out[::-1], np.int8)
 
 
-def fit(sequences: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 200, rate: float = 0.08, penalty: float = 1e-3) -> Chain | None:
+def fit(sequences: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 400, rate: float = 0.08, penalty: float = 1e-3) -> Chain | None:
     """Maximum likelihood by forward-backward and Adam; None unless both labels occur. sequences: features of lines, their labels, the document's."""
     sequences = [x for x in sequences if len(x[0])]
     if len({y for _, _, y in sequences}) < 2:
         return None
     parts = [(x[k : k + PIECE], g[k : k + PIECE], y) for x, g, y in sequences for k in range(0, len(x), PIECE)]
     n, f = len(parts), N_FEATURES
-    x, mask, gold, kind = np.zeros((n, PIECE, f)), np.zeros((n, PIECE), bool), np.zeros((n, PIECE), int), np.zeros(n, int)
-    for i, (a, g, y) in enumerate(parts):
-        x[i, : len(a)], mask[i, : len(a)], gold[i, : len(a)], kind[i] = a, True, g, y
-    weight = (0.5 / (np.bincount(kind, minlength=2) / n))[kind] / n  # documents of both kinds weigh the same
+    x, mask, gold = np.zeros((n, PIECE, f)), np.zeros((n, PIECE), bool), np.zeros((n, PIECE), int)
+    for i, (a, g, _) in enumerate(parts):
+        x[i, : len(a)], mask[i, : len(a)], gold[i, : len(a)] = a, True, g
+    weight = np.full(n, 1 / n)  # kinds of documents weigh as often as they occur: content is the usual label
     both = mask[:, 1:]
     seen = np.array([[((gold[:, :-1] == a) & (gold[:, 1:] == b) & both).sum(1) @ weight for b in (0, 1)] for a in (0, 1)])
     theta, m, v = np.zeros(f + 4), np.zeros(f + 4), np.zeros(f + 4)
@@ -197,27 +197,27 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 200, r
     return Chain(theta[:f], theta[f:].reshape(2, 2))
 
 
-#: Of each training line beside its features: its hash, those of the lines before and after it (0: none), whether it repeats an earlier one.
-_BESIDE = 4
+#: Of each training line beside its features: its hash, and whether it repeats an earlier one.
+_BESIDE = 2
 
 
 def line_labels(documents: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
-    """Of each document (what stands beside its lines' features, quality): 1 for content lines, 0 for boilerplate."""
-    contexts: dict[int, tuple[set[int], set[int], set[int]]] = {}
-    for at, (beside, _) in enumerate(documents):
-        for line, before, after, _ in beside.tolist():
-            places = contexts.setdefault(line, (set(), set(), set()))
-            places[0].add(before)
-            places[1].add(after)
-            places[2].add(at)
-    recurs = {line for line, places in contexts.items() if min(map(len, places)) >= RECUR}
-    return [np.array([int(quality == 1 and not dup and line not in recurs) for line, _, _, dup in beside.tolist()], int) for beside, quality in documents]
+    """Of each document (what stands beside its lines' features, quality): 1 for content lines, 0 for boilerplate.
+
+    A document is known by the least of its other lines' hashes: near copies mostly agree in it, unrelated ones don't.
+    """
+    company: dict[int, list[int]] = {}
+    for beside, _ in documents:
+        lines = sorted({(int(k), line) for k, line in zip(mix(beside[:, 0].view(np.uint64).copy()), beside[:, 0].tolist(), strict=True)})
+        for k, (_, line) in enumerate(lines):
+            company.setdefault(line, []).append(lines[1 if k == 0 else 0][1] if len(lines) > 1 else line)
+    recurs = {line for line, others in company.items() if len(set(others)) >= max(RECUR, UNRELATED * len(others))}
+    return [np.array([int(quality == 1 and not dup and line not in recurs) for line, dup in beside.tolist()], int) for beside, quality in documents]
 
 
 def _pieces(m: Measured, a: int, b: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Features, and what stands beside them, of at most `most` pieces of the lines a to b."""
-    h = m.line_hash.view(np.int64)
-    beside = np.stack([h[a:b], np.r_[0, h[a : b - 1]] if b > a else h[a:b], np.r_[h[a + 1 : b], 0] if b > a else h[a:b], m.line_dup[a:b].astype(np.int64)], axis=1)
+    beside = np.stack([m.line_hash[a:b].view(np.int64), m.line_dup[a:b].astype(np.int64)], axis=1)
     starts = np.arange(0, b - a, PIECE)
     rank = np.argsort(mix(beside[starts, 0].view(np.uint64) + starts.astype(np.uint64)), kind="stable")[:most]
     for k in np.sort(starts[rank]):

@@ -46,3 +46,25 @@ def test_baseline_and_inference(spark, root, tmp_path):
 def test_profile(spark, root):
     text = D.render(D.profile(tables.load_source(spark, root, "train", 1)))
     assert "## integrity" in text and "| ALL | 60 |" in text
+
+
+def test_training_and_learned_inference(spark, root, tmp_path):
+    sources = tables.load_all_sources(spark, root, "train")
+    truth = tables.truth_pairs(tables.load_ground_truth(spark, root))
+    one = dict.fromkeys(("fielded", "addr", "name_word", "name_char"), 1.0)
+    got = D.run_training(sources, truth, f"file://{tmp_path}/m", 5, max_df=one, kinds=("gbt",), maxIter=3, maxDepth=2)
+    assert got["validation"]["f05"] > 0.8 and got["full"]["summary"]["f05"] > 0.8 and got["full"]["candidates"]["recall"] == 1.0
+    assert set(got["tuned"]) == {"global", "source", "relative", "abstain", "stage2"}
+    stats = D.run_learned_inference(sources, f"file://{tmp_path}/m", f"file://{tmp_path}/out")
+    assert stats["errors"] == [] and stats["matching_results_rows"] == 60 and stats["matching_results_pairs"] >= 30
+    D.main(["validate", root, "train", f"file://{tmp_path}/out"])
+
+
+def test_profile_of_labels(spark, root):
+    rec = D.prenormalized(tables.load_all_sources(spark, root, "train")).withColumnRenamed("name_pre", "name_norm").withColumnRenamed("addr_pre", "addr_norm")
+    truth = tables.truth_pairs(tables.load_ground_truth(spark, root))
+    found = D.profile_truth(truth, rec)
+    assert {r["matches"]: r["n"] for r in found["cardinalities"].collect()} == {0: 20, 1: 40}
+    assert found["source_mix"].first()["only_s2"] == 40
+    rows = {r["kind"]: r for r in D.pair_agreement(truth, rec).collect()}
+    assert rows["true"]["pairs"] == rows["random"]["pairs"] == 40 and rows["true"]["name_jaccard"] > rows["random"]["name_jaccard"] + 0.3 and rows["true"]["number_shared"] == 1.0

@@ -54,6 +54,17 @@ def test_summary(spark):
     assert (s["f05"], s["singleton_accuracy"], s["false_merge_rate"]) == (pytest.approx(1 / 3), 0.5, 1.0)
 
 
+def test_false_merges(spark):
+    """Two of three predicting entities have a wrong pair, whatever the number of their pairs; none predicts: 0."""
+    pred = pairs(spark, [(1, 7), (1, 8), (1, 9), (2, 5), (3, 4)])
+    true = pairs(spark, [(1, 7), (2, 5), (4, 6)])
+    t = E.entity_table(pred, true, entities(spark, [1, 2, 3, 4]))
+    assert E.summarize(t).first()["false_merge_rate"] == pytest.approx(2 / 3)
+    scored = pred.withColumn("score", F.lit(0.5))
+    grid = E.grid_search(*E.prepare(scored, true, entities(spark, [1, 2, 3, 4])), spark.createDataFrame([(0.1,), (0.9,)], "threshold double"))
+    assert {r["threshold"]: r["false_merge_rate"] for r in grid.collect()} == {0.1: pytest.approx(2 / 3), 0.9: 0.0}
+
+
 def test_duplicates_and_foreign_entities(spark):
     rows = E.entity_table(pairs(spark, [(1, 7), (1, 7), (99, 5)]), pairs(spark, [(1, 7), (1, 8)]), entities(spark, [1])).collect()
     assert [(r["s1"], r["n_pred"]) for r in rows] == [(1, 1)]

@@ -29,6 +29,15 @@ def test_against_duckdb(a, b):
     assert S.damerau_levenshtein(a, b) == dl
 
 
+@given(words, words)
+def test_partial_ratio(a, b):
+    """Against all parts without bounds."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    n = len(short)
+    want = max((S.ratio(short, long[max(0, k) : k + n]) for k in range(1 - n, len(long))), default=0.0) if short else 100.0 * (not long)
+    assert S.partial_ratio(a, b) == want
+
+
 def test_edges():
     assert S.ratio("", "") == 100 and S.ratio("a", "") == 0
     assert S.token_set_ratio("", "") == 0 and S.token_set_ratio("a b", "b") == 100

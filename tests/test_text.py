@@ -17,7 +17,8 @@ def test_basic_normalize(spark, raw, want):
     assert of(spark, T.basic_normalize, raw) == want
 
 
-@pytest.mark.parametrize(("raw", "want"), [("लिमिटेड", "limited"), ("प्राइवेट", "praivet"), ("एलएलपी", "elelpi"), ("லிமிடெட்", "limitet"), ("Café Délice", "Cafe Delice"), ("plain", "plain")])
+@pytest.mark.parametrize(("raw", "want"), [("लिमिटेड", "limited"), ("प्राइवेट", "praivet"), ("एलएलपी", "elelpi"), ("லிமிடெட்", "limitet"), ("Café Délice", "Cafe Delice"), ("plain", "plain"),
+    ("Москва", "Moskva"), ("Київ", "Kiyiv"), ("Αθήνα", "Athina"), ("άνθρωποι", "anthropoi"), ("لندن", "lndn"), ("דוד", "dvd"), ("한국", "hangug"), ("화성시", "hwaseongsi"), ("さいたま", "saitama"), ("トヨタ", "toyota"), ("Աբովյան", "Abovyan"), ("სამი", "sami"), ("東京", "u6771u4eac"), ("१२", "12"), ("मुंद", "mumd")])
 def test_to_ascii(spark, raw, want):
     assert of(spark, T.to_ascii, raw) == want
 
@@ -44,6 +45,15 @@ def test_abbreviations(spark, a, b, want):
     assert of(spark, T.abbreviation_compatible, a, b) is want
 
 
+def test_no_name_vanishes():
+    from weftmatch.functions.transliterate import transliterate_text
+
+    for name in ("東京", "京東", "กรุงเทพ", "ደብረ", "ထန်", "Ωμέγα", "Ђорђе"):
+        got = transliterate_text(name)
+        assert got.isascii() and any(c.isalnum() for c in got)
+    assert transliterate_text("東京") != transliterate_text("京東")
+
+
 def test_core(spark):
     weak = F.array(F.lit("sarl"))
     core = lambda s: T.joined(T.core_tokens(T.tokens(F.lit(s)), weak))

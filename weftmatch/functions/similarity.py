@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
@@ -57,31 +58,58 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text to a part of the longer one; parts at the ends may be shorter."""
+    """The best ratio of the shorter text to a part of the longer one; parts at the ends may be shorter.
+
+    A part shares no more with the shorter text than the characters that both have, counted while the part slides; parts
+    are scored from the highest such bound on, until none can be better.
+    """
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if not short:
         return 100.0 if not long else 0.0
-    n = len(short)
-    return max(ratio(short, long[max(0, k) : k + n]) for k in range(1 - n, len(long)))
+    n, need = len(short), Counter(short)
+    have: Counter[str] = Counter()
+    common, bounds = 0, []
+    for k in range(1 - n, len(long)):
+        if k + n <= len(long):
+            ch = long[k + n - 1]
+            have[ch] += 1
+            common += have[ch] <= need.get(ch, 0)
+        if k > 0:
+            ch = long[k - 1]
+            common -= have[ch] <= need.get(ch, 0)
+            have[ch] -= 1
+        size = min(len(long), k + n) - max(0, k)
+        bounds.append((200.0 * common / (n + size), k))
+    best = 0.0
+    for bound, k in sorted(bounds, reverse=True):
+        if bound <= best:
+            break
+        best = max(best, ratio(short, long[max(0, k) : k + n]))
+    return best
 
 
 def jaro_winkler(a: str, b: str) -> float:
+    """Characters match with the first free equal one in reach; places of a character are passed once, as reach only moves on."""
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
     reach = max(0, max(len(a), len(b)) // 2 - 1)
-    used, matched = [False] * len(b), []
+    places: dict[str, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        places.setdefault(b[j], []).append(j)  # the first place last
+    taken, matched = [], []
     for i, ch in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == ch:
-                used[j] = True
-                matched.append(ch)
-                break
+        free = places.get(ch)
+        while free and free[-1] < i - reach:
+            free.pop()
+        if free and free[-1] <= i + reach:
+            taken.append(free.pop())
+            matched.append(ch)
     m = len(matched)
     if not m:
         return 0.0
-    turned = sum(x != y for x, y in zip(matched, (ch for ch, u in zip(b, used, strict=True) if u), strict=True)) // 2
+    turned = sum(x != b[j] for x, j in zip(matched, sorted(taken), strict=True)) // 2
     jaro = (m / len(a) + m / len(b) + (m - turned) / m) / 3
     prefix = 0
     while prefix < min(4, len(a), len(b)) and a[prefix] == b[prefix]:
@@ -90,23 +118,37 @@ def jaro_winkler(a: str, b: str) -> float:
 
 
 def damerau_levenshtein(a: str, b: str) -> int:
-    """Unrestricted: transposed characters may have others between them."""
-    last: dict[str, int] = {}
-    top = len(a) + len(b)
-    d = [[top] * (len(b) + 2) for _ in range(len(a) + 2)]
-    for i in range(len(a) + 1):
-        d[i + 1][1] = i
-    for j in range(len(b) + 1):
-        d[1][j + 1] = j
+    """Unrestricted: transposed characters may have others between them. Rows are kept for the characters that both texts have."""
+    while a and b and a[0] == b[0]:
+        a, b = a[1:], b[1:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not a or not b:
+        return len(a) + len(b)
+    shared = set(b)
+    rows: dict[str, tuple[int, list[int]]] = {}  # of a character: the last row that it stood at, and the row of distances before it
+    row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
-        seen = 0
+        before, row, seen = row, [i], 0
+        left = i
         for j, y in enumerate(b, 1):
-            k, at = last.get(y, 0), seen
+            best = before[j - 1] + (x != y)
+            if before[j] < best:
+                best = before[j] + 1
+            if left < best:
+                best = left + 1
+            if seen and y in rows:
+                k, old = rows[y]
+                turned = old[seen - 1] + (i - k - 1) + 1 + (j - seen - 1)
+                if turned < best:
+                    best = turned
             if x == y:
                 seen = j
-            d[i + 1][j + 1] = min(d[i][j] + (x != y), d[i + 1][j] + 1, d[i][j + 1] + 1, d[k][at] + (i - k - 1) + 1 + (j - at - 1))
-        last[x] = i
-    return d[len(a) + 1][len(b) + 1]
+            row.append(best)
+            left = best
+        if x in shared:
+            rows[x] = (i, before)
+    return row[-1]
 
 
 def dl_similarity(a: str, b: str) -> float:

@@ -12,6 +12,11 @@ def f05(tp: Column, n_pred: Column, n_true: Column) -> Column:
     return F.when((n_true == 0) & (n_pred == 0), 1.0).when(tp == 0, 0.0).otherwise(1.25 * p * r / (0.25 * p + r))
 
 
+def false_merges(tp: Column, n_pred: Column) -> Column:
+    """Share of the entities with a prediction that have a wrong one; 0 if none predicts."""
+    return F.coalesce(F.avg(F.when(n_pred > 0, (n_pred > tp).cast("int"))), F.lit(0.0))
+
+
 def entity_table(pred: DataFrame, truth: DataFrame, entities: DataFrame) -> DataFrame:
     """s1, n_pred, n_true, tp, precision, recall, f05 of every entity; repeated pairs count once, others' are left out."""
     ids = entities.select("s1").distinct()
@@ -33,7 +38,7 @@ def summarize(table: DataFrame) -> DataFrame:
         (F.sum(tp) / F.greatest(F.lit(1), F.sum(n_pred))).alias("micro_precision"), (F.sum(tp) / F.greatest(F.lit(1), F.sum(n_true))).alias("micro_recall"),
         F.avg(F.when(n_pred > 0, F.col("precision"))).alias("macro_precision_predicted"), F.avg(F.when(~lone, F.col("recall"))).alias("macro_recall_nonsingleton"),
         F.avg(lone.cast("int")).alias("singleton_rate"), F.avg(F.when(lone, (n_pred == 0).cast("int"))).alias("singleton_accuracy"),
-        (F.sum(n_pred - tp) / F.greatest(F.lit(1), F.sum(n_pred))).alias("false_merge_rate"), F.avg((n_pred == 0).cast("int")).alias("empty_prediction_rate"), F.avg(n_pred).alias("avg_predicted"),
+        false_merges(tp, n_pred).alias("false_merge_rate"), F.avg((n_pred == 0).cast("int")).alias("empty_prediction_rate"), F.avg(n_pred).alias("avg_predicted"),
     )
 
 
@@ -81,7 +86,7 @@ def grid_search(cands: DataFrame, sizes: DataFrame, thresholds: DataFrame, score
     tp, n_pred, n_true = F.col("tp"), F.col("n_pred"), F.col("n_true")
     return full.groupBy("threshold").agg(
         F.avg(f05(tp, n_pred, n_true)).alias("f05"), (F.sum(tp) / F.greatest(F.lit(1), F.sum(n_pred))).alias("micro_precision"), (F.sum(tp) / F.greatest(F.lit(1), F.sum(n_true))).alias("micro_recall"),
-        F.avg(F.when(n_true == 0, (n_pred == 0).cast("int"))).alias("singleton_accuracy"), (F.sum(n_pred - tp) / F.greatest(F.lit(1), F.sum(n_pred))).alias("false_merge_rate"), F.avg(n_pred).alias("avg_predicted"),
+        F.avg(F.when(n_true == 0, (n_pred == 0).cast("int"))).alias("singleton_accuracy"), false_merges(tp, n_pred).alias("false_merge_rate"), F.avg(n_pred).alias("avg_predicted"),
     )
 
 

@@ -29,8 +29,10 @@ def attributes(rec: DataFrame, weak: DataFrame | None = None) -> DataFrame:
     out = out.withColumn("core_all", T.core_tokens(F.col("name_all"), F.col("weak"))).withColumn("nums_all", T.numbers(F.col("addr_raw")))
     out = out.withColumn("name_core", T.joined(F.col("core_all"))).withColumn("name_t", F.array_distinct("name_all")).withColumn("addr_t", F.array_distinct(T.tokens(F.col("addr_norm")))).withColumn("num_t", F.array_distinct("nums_all"))
     out = out.withColumn("core_t", F.filter("name_t", lambda t: ~F.array_contains(F.col("weak"), t) & ~t.isin(*T.STOPWORDS))).withColumn("comp_t", F.array_distinct(T.components(F.col("addr_raw"))))
-    by_name, by_addr = Window.partitionBy("country", "name_norm"), Window.partitionBy("country", "addr_norm")
-    out = out.withColumn("name_generic", F.log1p(F.count(F.lit(1)).over(by_name).cast("double"))).withColumn("addr_generic", F.when(F.col("addr_norm") == "", 0.0).otherwise(F.log1p(F.count(F.lit(1)).over(by_addr).cast("double"))))
+    for field in ("name", "addr"):  # counts are summed up before a shuffle: an empty address, the commonest, is no hot group; it counts as nothing
+        filled = F.lit(True) if field == "name" else F.col("addr_norm") != ""
+        counts = rec.where(filled).groupBy("country", F.col(f"{field}_norm").alias("said")).agg(F.log1p(F.count(F.lit(1)).cast("double")).alias(f"{field}_generic"))
+        out = out.withColumn("said", F.when(filled, F.col(f"{field}_norm"))).join(counts, ["country", "said"], "left").drop("said").withColumn(f"{field}_generic", F.coalesce(f"{field}_generic", F.lit(0.0)))
     return out.drop("weak", "name_all")
 
 

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import ratio_col
 from ..functions.text import abbreviation_compatible
+from .components import connected
 
+#: Least shares and rates of weak tokens, least counts, consistency and ratio of substitutions.
+SUFFIX_SHARE, SUFFIX_LAST, UNSTABLE_SHARE, UNSTABLE_RATE, SUB_COUNT, SUB_CONSISTENCY, SUB_RATIO = 0.003, 0.6, 0.002, 0.5, 25, 0.5, 70.0
 
-def suffix_tokens(names: DataFrame, min_share: float = 0.003, min_last_ratio: float = 0.6) -> DataFrame:
+
+def suffix_tokens(names: DataFrame, min_share: float = SUFFIX_SHARE, min_last_ratio: float = SUFFIX_LAST) -> DataFrame:
     """country, token of (country, toks): tokens that often end a name and are seldom elsewhere."""
     n = names.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     full = names.where(F.size("toks") > 0)
@@ -19,7 +23,7 @@ def suffix_tokens(names: DataFrame, min_share: float = 0.003, min_last_ratio: fl
     return joined.where((F.col("last") / F.col("n") >= min_share) & (F.col("last") / F.col("anywhere") >= min_last_ratio)).select("country", "token")
 
 
-def instability_tokens(pairs: DataFrame, min_share: float = 0.002, min_rate: float = 0.5) -> DataFrame:
+def instability_tokens(pairs: DataFrame, min_share: float = UNSTABLE_SHARE, min_rate: float = UNSTABLE_RATE) -> DataFrame:
     """country, token, rate of (country, a_toks, b_toks): common tokens that are often on one side of a true pair only."""
     n = pairs.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     sides = pairs.select("country", F.explode(F.array_union("a_toks", "b_toks")).alias("token"), "a_toks", "b_toks")
@@ -35,7 +39,7 @@ def count_substitutions(pairs: DataFrame) -> DataFrame:
     return diff.groupBy("country", F.try_element_at("db", F.lit(1)).alias("m"), F.try_element_at("da", F.lit(1)).alias("s")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def accept_substitutions(subs: DataFrame, min_count: int = 25, min_consistency: float = 0.5, min_ratio: float = 70.0) -> DataFrame:
+def accept_substitutions(subs: DataFrame, min_count: int = SUB_COUNT, min_consistency: float = SUB_CONSISTENCY, min_ratio: float = SUB_RATIO) -> DataFrame:
     """Frequent, consistent and plausible substitutions."""
     total = F.sum("n").over(Window.partitionBy("country", "m"))
     digits = F.col("m").rlike("^[0-9]+$") | F.col("s").rlike("^[0-9]+$")
@@ -44,37 +48,16 @@ def accept_substitutions(subs: DataFrame, min_count: int = 25, min_consistency:
     return scored.where(abbreviation_compatible(F.col("m"), F.col("s")) | (F.col("ratio") >= min_ratio)).select("country", "m", "s", "n")
 
 
-def build_map(accepted: DataFrame, freq: DataFrame, rounds: int = 100) -> DataFrame:
-    """country, token, canon: tokens of an equivalence class to its most frequent one (freq: country, token, n); ties by length, then text.
-
-    Classes are found by passing on the least token of the neighbours until nothing changes; each round is checkpointed,
-    so that plans stay short and lost executors are cheap.
-    """
-    edges = accepted.select("country", F.col("m").alias("x"), F.col("s").alias("y"))
-    both = edges.unionByName(edges.select("country", F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
-    labels = both.select("country", F.col("x").alias("token")).distinct().withColumn("label", F.col("token"))
-    for _ in range(rounds):
-        near = both.join(labels.select("country", F.col("token").alias("y"), F.col("label").alias("other")), ["country", "y"]).groupBy("country", F.col("x").alias("token")).agg(F.min("other").alias("other"))
-        new = labels.join(near, ["country", "token"]).select("country", "token", F.least("label", "other").alias("label"), F.col("label").alias("old"))
-        new = _kept(new)
-        done = new.where("label <> old").isEmpty()
-        labels = new.drop("old")
-        if done:
-            break
-    else:
-        raise RuntimeError(f"classes of tokens still change after {rounds} rounds")
+def build_map(accepted: DataFrame, freq: DataFrame) -> DataFrame:
+    """country, token, canon: tokens of an equivalence class to its most frequent one (freq: country, token, n); ties by length, then text."""
+    node = lambda token: F.struct("country", F.col(token).alias("token"))
+    classes = connected(accepted.select(node("m").alias("a"), node("s").alias("b")))
+    labels = classes.select("node.country", "node.token", F.col("root.token").alias("label"))
     ranked = labels.join(freq, ["country", "token"], "left").withColumn("k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.char_length("token").alias("l"), F.col("token").alias("t")))
     canon = ranked.groupBy("country", "label").agg(F.max("k").alias("k"))
     return labels.join(canon, ["country", "label"]).select("country", "token", F.col("k.t").alias("canon")).where("token <> canon")
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints")
-    return df.checkpoint()
-
-
 def mine_token_maps(pairs: DataFrame, freq: DataFrame, **limits: float) -> DataFrame:
     """Counts, accepts and classes in one: country, token, canon."""
     return build_map(accept_substitutions(count_substitutions(pairs), **limits), freq)

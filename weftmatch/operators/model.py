@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +49,19 @@ def platt(scored: DataFrame, p: str = "p", y: str = "y"):
     return lambda df: fitted.transform(logit(df)).withColumn("calibrated", vector_to_array("probability")[1]).select(*df.columns, "calibrated")
 
 
-def isotonic(scored: DataFrame, p: str = "p", y: str = "y"):
+def isotonic_model(scored: DataFrame, p: str = "p", y: str = "y") -> IsotonicRegressionModel:
     """A rising curve of pooled steps, linear between them, level beyond its ends."""
-    fitted = IsotonicRegression(featuresCol=p, labelCol=y, predictionCol="calibrated").fit(scored)
-    return lambda df: fitted.transform(df)
+    return IsotonicRegression(featuresCol=p, labelCol=y, predictionCol="calibrated").fit(scored)
+
+
+def isotonic(scored: DataFrame, p: str = "p", y: str = "y"):
+    """The curve as a function that adds `calibrated`."""
+    return isotonic_model(scored, p, y).transform
+
+
+def calibrated(calibrator: IsotonicRegressionModel, scored: DataFrame, raw: str = "raw") -> DataFrame:
+    """scored with p, by a fitted curve over the raw score."""
+    return calibrator.copy({calibrator.featuresCol: raw}).transform(scored).withColumn("p", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "calibrated"))).drop("calibrated")
 
 
 def stage2(scored: DataFrame, columns: list[str], entities: str = "s1") -> DataFrame:
@@ -77,22 +86,26 @@ def ablation(train_set: DataFrame, test_set: DataFrame, groups: dict[str, list[s
     return out
 
 
-def score_candidates(model: PipelineModel, calibrate, features: DataFrame, policy: dict) -> tuple[DataFrame, DataFrame]:
+def score_candidates(model: PipelineModel, calibrator: IsotonicRegressionModel | None, features: DataFrame, policy: dict) -> tuple[DataFrame, DataFrame]:
     """Scored rows (s1, cand, p...) and the accepted ones."""
-    scored = calibrate(predict(model, features, "raw")).withColumnRenamed("calibrated", "p") if calibrate else predict(model, features, "p")
+    scored = calibrated(calibrator, predict(model, features, "raw")) if calibrator else predict(model, features, "p")
     stats = entity_stats(scored)
     ok = accept(policy, F.col("p"), is_s3=F.col("b_is_s3") if "b_is_s3" in stats.columns else F.lit(0), p_rel=F.col("p_rel"), p_max=F.col("p_max"))
     return stats, stats.where(ok)
 
 
-def save(model: PipelineModel, spec: dict, path: str) -> None:
-    """The model's folder and its specification, a text file that Spark writes."""
+def save(model: PipelineModel, spec: dict, path: str, calibrator: IsotonicRegressionModel | None = None) -> None:
+    """The folders of the model and its calibrator, and its specification, a text file that Spark writes."""
     model.write().overwrite().save(f"{path}/model")
+    if calibrator:
+        calibrator.write().overwrite().save(f"{path}/calibrator")
+    spec = {**spec, "calibrated": calibrator is not None}
     _active().createDataFrame([(json.dumps(spec, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
 
 
-def load(path: str) -> tuple[PipelineModel, dict]:
-    return PipelineModel.load(f"{path}/model"), json.loads(_active().read.text(f"{path}/spec").first()["value"])
+def load(path: str) -> tuple[PipelineModel, dict, IsotonicRegressionModel | None]:
+    spec = json.loads(_active().read.text(f"{path}/spec").first()["value"])
+    return PipelineModel.load(f"{path}/model"), spec, IsotonicRegressionModel.load(f"{path}/calibrator") if spec["calibrated"] else None
 
 
 def _active():

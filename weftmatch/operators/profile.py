@@ -46,8 +46,10 @@ def top_n(counts: DataFrame, n: int, group: str | None = None, key: str = "token
 
 
 def shares(counts: DataFrame, group: str | None = None) -> DataFrame:
-    w = Window.partitionBy(group) if group else Window.partitionBy(F.lit(1))
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(w), 6))
+    by = [group] if group else []
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("_total")) if group else counts.agg(F.sum("n").alias("_total"))
+    both = counts.join(totals, by) if group else counts.crossJoin(F.broadcast(totals))  # one row of totals
+    return both.withColumn("share", F.round(F.col("n") / F.col("_total"), 6)).drop("_total")
 
 
 def histogram(df: DataFrame, value: Column, edges: list[float]) -> DataFrame:

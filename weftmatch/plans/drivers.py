@@ -12,11 +12,14 @@ from ..functions import text as T
 from ..operators import blocking as B
 from ..operators import evaluate as E
 from ..operators import mining as M
+from ..operators import model as L
 from ..operators import policy as P
 from ..operators import profile as R
 from ..operators import sampling as K
+from ..operators import tuning as U
 from ..sources import sinks, tables
 from ..sources.store import stored
+from . import matcher as G
 
 WEIGHTS, THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7), [float(t) for t in range(50, 101)]
 COSINES = [round(0.05 + 0.01 * k, 2) for k in range(95)]
@@ -127,10 +130,68 @@ def run_inference(sources: DataFrame, normalizer: dict[str, DataFrame], rule: di
     ents = rec.where("source = 1").select(F.col("code").alias("s1"), F.col("code").alias("pos"))
     stats = sinks.write_submission(ents, scored, matches, folder)
     names = ents.select(T.decode_id(F.col("s1")).alias("entity"))
-    errors, warnings = sinks.validate(spark, f"file://{folder}/matching_results.tsv", f"file://{folder}/candidate_pairs.tsv", names)
+    errors, warnings = sinks.validate(spark, f"{folder}/matching_results.tsv", f"{folder}/candidate_pairs.tsv", names)
     return {**stats, "errors": errors, "warnings": warnings, "report": [r.asDict() for r in sinks.run_report(rec.where("source = 1").select(F.col("code").alias("s1"), "country"), scored, matches).orderBy("country").collect()]}
 
 
+def run_training(sources: DataFrame, truth: DataFrame, folder: str, min_count: int = 25, fractions: dict[str, float] | None = None, max_df: dict[str, float] | None = None, **params) -> dict:
+    """Normaliser, features, model, calibrator and policy from labelled records; all are written to the folder. Fold 0 is kept out and measured."""
+    records = stored(prenormalized(sources), "prenormalized")
+    folds = stored(K.folds(records.where("source = 1").select(F.col("code").alias("s1"), "country"), ["country"], "s1"), "folds")
+    dev, kept_out = U.split(folds)
+    normalizer = learn_normalizer(records, truth.join(dev, "s1", "left_semi"), min_count)
+    rec = stored(normalized(records, normalizer), "normalized")
+    sets = stored(K.disjoint(dev.select("s1", "country"), ["country"], "s1", fractions or {"model": 0.5, "calib": 0.5, "val": 1.0}), "sets")
+    feats, limits = G.dev_features(rec, truth, sets, weak=normalizer["weak"], max_df=max_df)
+    spec, model, calibrator = G.train_and_select(feats, truth, sets, **params)
+    spec |= {"limits": limits, "max_df": max_df}
+    L.save(model, spec, folder, calibrator)
+    save_normalizer(normalizer, f"{folder}/normalizer")
+    return {**spec, "full": G.evaluate_full(rec, truth, kept_out.select("s1", "country"), model, calibrator, spec, limits, weak=normalizer["weak"], max_df=max_df)}
+
+
+def run_learned_inference(sources: DataFrame, folder: str, out: str) -> dict:
+    """Lists of all entities of source 1 by what run_training has written."""
+    spark = sources.sparkSession
+    model, spec, calibrator = L.load(folder)
+    normalizer = load_normalizer(spark, f"{folder}/normalizer")
+    rec = stored(normalized(prenormalized(sources), normalizer), "normalized")
+    return G.run_inference(spark, rec, model, calibrator, spec, spec["limits"], out, weak=normalizer["weak"], max_df=spec["max_df"])
+
+
+def profile_truth(truth: DataFrame, records: DataFrame) -> dict[str, DataFrame]:
+    """Integrity, cardinalities, source mix and pair space of labels (s1, cand) over records (country, code, source)."""
+    s1, others = records.where("source = 1").select(F.col("code").alias("s1")), records.where("source <> 1").select(F.col("code").alias("cand"))
+    cards = s1.join(truth.groupBy("s1").agg(F.count_if(T.source_of(F.col("cand")) == 2).alias("n2"), F.count_if(T.source_of(F.col("cand")) == 3).alias("n3")), "s1", "left").na.fill(0, ["n2", "n3"])
+    size = F.least(F.col("n2") + F.col("n3"), F.lit(30))
+    return {
+        "integrity": R.truth_integrity(truth, s1, others),
+        "cardinalities": R.shares(cards.groupBy(size.alias("matches")).agg(F.count(F.lit(1)).alias("n"))),
+        "source_mix": R.source_mix(cards),
+        "pair_space": R.pair_space(records, truth),
+    }
+
+
+def pair_agreement(truth: DataFrame, records: DataFrame, n: int = 100_000, seed: int = 0) -> DataFrame:
+    """kind (true or random), pairs, and how often and how far both sides agree: n sampled true pairs against as many random ones of the same countries."""
+    side = lambda key, name: records.select(F.col("code").alias(key), F.struct("name_norm", "addr_norm", T.numbers(F.col("addr_raw")).alias("nums"), T.postal_tokens(F.col("addr_raw")).alias("postal")).alias(name))
+    countries = records.where("source = 1").select(F.col("code").alias("s1"), "country")
+    picked = stored(K.uniform_sample(truth.withColumn("at", F.col("s1") + F.col("cand")), "at", n, seed).drop("at").join(countries, "s1"), "picked")
+    random = K.random_negatives(picked, records.where("source <> 1"), seed)
+    pairs = picked.select("s1", "cand", F.lit("true").alias("kind")).unionByName(random.select("s1", "cand", F.lit("random").alias("kind")))
+    both = pairs.join(side("s1", "a"), "s1").join(side("cand", "b"), "cand")
+    jacc = lambda x, y: (lambda i: T.safe_div(i, F.size(x) + F.size(y) - i))(F.size(F.array_intersect(x, y)))
+    words = lambda side, field: F.array_distinct(T.tokens(F.col(f"{side}.{field}_norm")))
+    share = lambda c: F.round(F.avg(c.cast("int")), 6)
+    some = (F.col("a.addr_norm") != "") & (F.col("b.addr_norm") != "")
+    return both.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("pairs"), share(F.col("a.name_norm") == F.col("b.name_norm")).alias("name_equal"), share(some & (F.col("a.addr_norm") == F.col("b.addr_norm"))).alias("addr_equal"),
+        F.round(F.avg(jacc(words("a", "name"), words("b", "name"))), 6).alias("name_jaccard"), F.round(F.avg(jacc(words("a", "addr"), words("b", "addr"))), 6).alias("addr_jaccard"),
+        F.round(F.avg(S.token_set_col("a.name_norm", "b.name_norm")), 4).alias("name_token_set"), F.round(F.median(S.jaro_winkler_col("a.name_norm", "b.name_norm")), 6).alias("name_jaro_winkler_median"),
+        share(F.arrays_overlap("a.nums", "b.nums")).alias("number_shared"), share(F.arrays_overlap("a.postal", "b.postal")).alias("postal_shared"), share(~some).alias("address_missing"),
+    )
+
+
 def profile(sources: DataFrame) -> dict[str, DataFrame]:
     """Tables about one or more sources."""
     name, addr = F.col("business_name"), F.col("business_address")
@@ -159,7 +220,7 @@ def render(tables_: dict[str, DataFrame], rows: int = 40) -> str:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """profile ROOT SPLIT | baseline ROOT | infer ROOT SPLIT NORMALIZER RULE_JSON OUT | learn ROOT NORMALIZER"""
+    """profile ROOT SPLIT | baseline ROOT | learn ROOT NORMALIZER | infer ROOT SPLIT NORMALIZER RULE_JSON OUT | train ROOT MODEL | match ROOT SPLIT MODEL OUT | validate ROOT SPLIT OUT"""
     import sys
 
     from ..session import session
@@ -176,5 +237,15 @@ def main(argv: list[str] | None = None) -> None:
         save_normalizer(learn_normalizer(prenormalized(tables.load_all_sources(spark, args[1], "train")), truth), args[2])
     elif args[:1] == ["infer"] and len(args) == 6:
         print(json.dumps(run_inference(tables.load_all_sources(spark, args[1], args[2]), load_normalizer(spark, args[3]), json.loads(args[4]), args[5]), default=str))
+    elif args[:1] == ["train"] and len(args) == 3:
+        truth = tables.truth_pairs(tables.load_ground_truth(spark, args[1]))
+        print(json.dumps(run_training(tables.load_all_sources(spark, args[1], "train"), truth, args[2]), default=str))
+    elif args[:1] == ["match"] and len(args) == 5:
+        print(json.dumps(run_learned_inference(tables.load_all_sources(spark, args[1], args[2]), args[3], args[4]), default=str))
+    elif args[:1] == ["validate"] and len(args) == 4:
+        every = tables.load_all_sources(spark, args[1], args[2])
+        names = every.where("source = 1").select(F.col("entity_id").alias("entity"))
+        errors, warnings = sinks.validate(spark, f"{args[3]}/matching_results.tsv", f"{args[3]}/candidate_pairs.tsv", names, every.where("source <> 1").select(F.col("entity_id").alias("id")))
+        print("\n".join([*errors, *warnings]) or "valid")
     else:
         raise SystemExit(main.__doc__)

@@ -89,10 +89,10 @@ def _index(rec: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tok, stored(B.field_statistics(tok, B.country_sizes(rec)), "statistics")
 
 
-def _block(rec: DataFrame, name: str) -> DataFrame:
+def _block(rec: DataFrame, name: str, index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     if name == "name_char":
         return B.topk(X.char_weights(rec), B.BLOCK_K[name])
-    tok, stats = _index(rec)
+    tok, stats = index or _index(rec)
     stop = None
     if name == "fielded":
         stop = rec.select("country").distinct().select("country", F.explode(F.array(*map(F.lit, T.STOPWORDS))).alias("token"))
@@ -119,7 +119,9 @@ UNION = "u AS (" + " UNION ALL ".join(f"SELECT q, c, '{b}' AS block, rank FROM t
 
 
 def _candidates(rec: DataFrame) -> DataFrame:
-    return stored(B.generate_candidates({b: _block(rec, b) for b in B.BLOCK_K}), "candidates")
+    rec = stored(rec, "records")  # read by every block
+    index = _index(rec)
+    return stored(B.generate_candidates({b: _block(rec, b, index) for b in B.BLOCK_K}), "candidates")
 
 
 @query(f"{BLOCKS},{UNION} SELECT * FROM cand")
@@ -190,7 +192,7 @@ def entity_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUMMARY = {
     "f05": "avg(f05)", "f05_nonsingleton": "avg(CASE WHEN n_true > 0 THEN f05 END)", "micro_precision": "sum(tp) / greatest(1, sum(n_pred))", "micro_recall": "sum(tp) / greatest(1, sum(n_true))",
     "macro_precision_predicted": "avg(CASE WHEN n_pred > 0 THEN prec END)", "macro_recall_nonsingleton": "avg(CASE WHEN n_true > 0 THEN rec END)", "singleton_rate": "avg(CAST(n_true = 0 AS INTEGER))",
-    "singleton_accuracy": "avg(CASE WHEN n_true = 0 THEN CAST(n_pred = 0 AS INTEGER) END)", "false_merge_rate": "sum(n_pred - tp) / greatest(1, sum(n_pred))", "empty_prediction_rate": "avg(CAST(n_pred = 0 AS INTEGER))", "avg_predicted": "avg(n_pred)",
+    "singleton_accuracy": "avg(CASE WHEN n_true = 0 THEN CAST(n_pred = 0 AS INTEGER) END)", "false_merge_rate": "coalesce(avg(CASE WHEN n_pred > 0 THEN CAST(n_pred > tp AS INTEGER) END), 0)", "empty_prediction_rate": "avg(CAST(n_pred = 0 AS INTEGER))", "avg_predicted": "avg(n_pred)",
 }
 
 
@@ -222,7 +224,7 @@ GRIDSQL = f"""{EVAL}, g AS (SELECT unnest([{', '.join(map(str, GRID))}]) AS thre
   LEFT JOIN pred p ON p.s1 = e.code AND round(p.score, 9) >= g.threshold LEFT JOIN truth t ON t.s1 = p.s1 AND t.cand = p.cand GROUP BY g.threshold, e.code),
 grid AS (SELECT threshold, round(avg(CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp / n_pred) * (tp / n_true) / (0.25 * (tp / n_pred) + tp / n_true) END), 6) AS f05,
   round(sum(tp) / greatest(1, sum(n_pred)), 6) AS micro_precision, round(sum(tp) / greatest(1, sum(n_true)), 6) AS micro_recall, round(avg(CASE WHEN n_true = 0 THEN CAST(n_pred = 0 AS INTEGER) END), 6) AS singleton_accuracy,
-  round(sum(n_pred - tp) / greatest(1, sum(n_pred)), 6) AS false_merge_rate, round(avg(n_pred), 6) AS avg_predicted FROM x GROUP BY threshold)"""
+  round(coalesce(avg(CASE WHEN n_pred > 0 THEN CAST(n_pred > tp AS INTEGER) END), 0), 6) AS false_merge_rate, round(avg(n_pred), 6) AS avg_predicted FROM x GROUP BY threshold)"""
 GRID_COLUMNS = ("f05", "micro_precision", "micro_recall", "singleton_accuracy", "false_merge_rate", "avg_predicted")
 
 

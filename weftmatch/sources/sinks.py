@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import decode_id, encode_id, source_of
+from ..functions.text import decode_id, encode_id, list_size, source_of
 
 
 def id_lists(pairs: DataFrame, score: str = "score") -> DataFrame:
@@ -39,21 +40,47 @@ def submission_rows(entities: DataFrame, pairs: DataFrame, score: str = "score")
 
 
 def write_submission(entities: DataFrame, cands: DataFrame, matches: DataFrame, folder: str, score: str = "score") -> dict[str, int]:
-    """matching_results.tsv and candidate_pairs.tsv on the driver's disk, in entity order: rows come through sorted partitions one at a time."""
+    """matching_results.tsv and candidate_pairs.tsv in a folder that driver and executors share, in entity order.
+
+    Executors write sorted partitions; their bytes are then put after one another by the file system. No row comes to the driver's Python.
+    """
     check_lists(entities.select("s1"), cands, matches)
-    out, stats = Path(folder), {}
-    out.mkdir(parents=True, exist_ok=True)
+    spark, stats = entities.sparkSession, {}
     for name, column, pairs in (("matching_results", "matched_entity_ids", matches), ("candidate_pairs", "candidate_entity_ids", cands)):
-        rows = empty = listed = 0
-        with (out / f"{name}.tsv").open("w", encoding="utf-8", newline="\n") as f:
-            f.write(f"source1_entity_id\t{column}\n")
-            for r in submission_rows(entities, pairs, score).orderBy("pos").toLocalIterator():
-                f.write(f"{r['source1_entity_id']}\t{r['ids']}\n")
-                rows, empty, listed = rows + 1, empty + (r["ids"] == ""), listed + (r["ids"].count(",") + 1 if r["ids"] else 0)
-        stats |= {f"{name}_rows": rows, f"{name}_empty": empty, f"{name}_pairs": listed}
+        parts = f"{folder}/{name}.parts"
+        rows = submission_rows(entities, pairs, score)
+        rows.orderBy("pos").select(F.concat_ws("\t", "source1_entity_id", "ids").alias("value")).write.mode("overwrite").text(parts)
+        _concatenate(spark, parts, f"{folder}/{name}.tsv", f"source1_entity_id\t{column}\n")
+        body = read_body(spark, f"{folder}/{name}.tsv")
+        one = body.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("ids") == "").alias("empty"), F.coalesce(F.sum(list_size(F.col("ids"))), F.lit(0)).alias("pairs")).first()
+        stats |= {f"{name}_{k}": one[k] for k in ("rows", "empty", "pairs")}
     return stats
 
 
+def _concatenate(spark: SparkSession, parts: str, target: str, head: str) -> None:
+    """The part files of a folder, in their order, after a head line; the folder goes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(conf)
+    out = fs.create(path(target), True)
+    try:
+        out.write(bytearray(head.encode()))
+        for status in sorted(fs.listStatus(path(parts)), key=lambda x: x.getPath().getName()):
+            if status.getPath().getName().startswith("part-"):
+                part = fs.open(status.getPath())
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                part.close()
+    finally:
+        out.close()
+    fs.delete(path(parts), True)
+
+
+def read_body(spark: SparkSession, path: str) -> DataFrame:
+    """entity, ids of a list file."""
+    parts = F.split("value", "\t")
+    return spark.read.text(path).where(~F.col("value").startswith("source1_entity_id\t")).select(parts[0].alias("entity"), F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")).alias("ids"))
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """s1, cand of a list file; no rows keep the types."""
     lines = spark.read.text(path).where(~F.col("value").startswith("source1_entity_id\t"))
@@ -107,7 +134,7 @@ def validate(spark: SparkSession, matching: str, candidates: str, entities: Data
         try:
             lines = spark.read.text(path)
             head = lines.first()
-        except Exception as e:  # noqa: BLE001  whatever the store says about the path
+        except (AnalysisException, Py4JJavaError) as e:  # no such path, or the store refuses it
             errors.append(f"{path}: can't be read: {str(e).splitlines()[0]}")
             continue
         if head is None:

@@ -14,6 +14,7 @@ from ..operators import mining as M
 from ..operators import model as L
 from ..operators import policy as P
 from ..operators import sampling as K
+from ..operators import tuning as U
 from ..sources.store import stored
 from .records import REC, TOK, TRUTH, records, sql_tokens, sql_topk, sql_weights, table, tokens, truth
 
@@ -155,6 +156,19 @@ def block_recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(rows).select("r.*").crossJoin(total).select("block", "k", "pairs", "hits", F.round(F.col("hits") / F.col("total"), 6).alias("recall"))  # one row of totals
 
 
+def _sql_unions() -> str:
+    cond = lambda u: " OR ".join(f"(rank_{b} >= 0 AND rank_{b} < {k})" for b, k in u.items())
+    one = lambda i, u: f"SELECT {i} AS \"union\", (SELECT count(*) FROM cand WHERE {cond(u)}) AS pairs, (SELECT count(*) FROM cand JOIN truth t ON t.s1 = q AND t.cand = c WHERE {cond(u)}) AS hits"
+    rows = " UNION ALL ".join(one(i, u) for i, u in enumerate(U.UNIONS))
+    return f"{BLOCKS},{UNION},{TRUTH} SELECT CAST(\"union\" AS INTEGER) AS \"union\", pairs, round(hits / greatest(1, (SELECT count(*) FROM truth)), 6) AS recall, round(pairs / greatest(1, (SELECT count(DISTINCT q) FROM cand)), 6) AS avg_candidates FROM ({rows})"
+
+
+@query(_sql_unions())
+def block_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = records(spark, sf_dir)
+    return U.union_recall(_candidates(rec), truth(rec)).select("union", "pairs", *r6("recall", "avg_candidates"))
+
+
 @query(f"{BLOCKS},{UNION} SELECT c.q, c.c, round(coalesce(sum(a.w * b.w), 0), 6) AS cosine FROM cand c LEFT JOIN b_addr a ON a.code = c.q LEFT JOIN b_addr b ON b.code = c.c AND b.field = a.field AND b.token = a.token GROUP BY c.q, c.c")
 def pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = records(spark, sf_dir)
@@ -432,14 +446,20 @@ def suffix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.suffix_tokens(records(spark, sf_dir).where("source = 1").select("country", T.tokens(F.col("name_norm")).alias("toks")))
 
 
+HEAD, NAME = 3, 5
+
+
 def _labelled(rec: DataFrame) -> DataFrame:
-    """Pairs that share an address: their names differ."""
-    full = rec.where("addr_norm <> ''").select("country", "addr_norm", "source", T.tokens(F.col("name_norm")).alias("toks"))
-    a, b = full.where("source = 1").select("country", "addr_norm", F.col("toks").alias("a_toks")), full.where("source <> 1").select("country", "addr_norm", F.col("toks").alias("b_toks"))
-    return a.join(b, ["country", "addr_norm"]).select("country", "a_toks", "b_toks")
+    """Pairs of names that begin alike: each distinct start of NAME tokens of source 1 with the first one of the others that shares its HEAD tokens. One pair for each name, however many share its head."""
+    toks = T.tokens(F.col("name_norm"))
+    names = rec.where(F.size(toks) >= NAME).select("country", "source", F.slice(toks, 1, HEAD).alias("head"), F.slice(toks, 1, NAME).alias("toks"))
+    a = names.where("source = 1").select("country", "head", F.col("toks").alias("a_toks")).distinct()
+    b = names.where("source <> 1").groupBy("country", "head").agg(F.min("toks").alias("b_toks"))
+    return a.join(b, ["country", "head"]).select("country", "a_toks", "b_toks")
 
 
-LAB = f"{NAMES}, lab AS (SELECT a.country, x.toks AS lt, y.toks AS rt FROM rec a JOIN rec b ON a.country = b.country AND a.addr_norm = b.addr_norm JOIN nm x ON x.code = a.code JOIN nm y ON y.code = b.code WHERE a.source = 1 AND b.source <> 1 AND a.addr_norm <> '')"
+LAB = f"""{NAMES}, hd AS (SELECT country, source, toks[1:{HEAD}] AS head, toks[1:{NAME}] AS toks FROM nm WHERE len(toks) >= {NAME}),
+lab AS (SELECT a.country, a.toks AS lt, b.toks AS rt FROM (SELECT DISTINCT country, head, toks FROM hd WHERE source = 1) a JOIN (SELECT country, head, min(toks) AS toks FROM hd WHERE source <> 1 GROUP BY country, head) b ON b.country = a.country AND b.head = a.head)"""
 
 
 @query(f"""WITH {REC},{LAB}, n AS (SELECT country, count(*) AS n FROM lab GROUP BY country), e AS (SELECT country, unnest(list_distinct(list_concat(lt, rt))) AS token, lt, rt FROM lab),
@@ -453,11 +473,22 @@ def substitutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.count_substitutions(_labelled(records(spark, sf_dir)))
 
 
-@query()
+EQUIV = f"""WITH RECURSIVE {REC},{LAB}, d AS (SELECT country, list_distinct(list_filter(lt, lambda t: NOT list_contains(rt, t))) AS da, list_distinct(list_filter(rt, lambda t: NOT list_contains(lt, t))) AS db FROM lab),
+sb AS (SELECT country, db[1] AS m, da[1] AS s, count(*) AS n FROM d WHERE len(da) = 1 AND len(db) = 1 GROUP BY 1, 2, 3),
+ac AS (SELECT country, m, s FROM (SELECT *, sum(n) OVER (PARTITION BY country, m) AS total FROM sb) WHERE n / total >= 0.5 AND NOT regexp_matches(m, '^[0-9]+$') AND NOT regexp_matches(s, '^[0-9]+$')),
+ed AS (SELECT country, m AS x, s AS y FROM ac UNION SELECT country, s, m FROM ac),
+rc AS (SELECT country, x, x AS y FROM ed UNION SELECT rc.country, rc.x, ed.y FROM rc JOIN ed ON ed.country = rc.country AND ed.x = rc.y),
+fr AS (SELECT country, token, count(*) AS n FROM (SELECT country, unnest(toks) AS token FROM nm WHERE source = 1) GROUP BY 1, 2),
+rk AS (SELECT rc.country, rc.x AS token, rc.y AS canon, row_number() OVER (PARTITION BY rc.country, rc.x ORDER BY coalesce(fr.n, 0) DESC, length(rc.y) DESC, rc.y DESC) AS r FROM rc LEFT JOIN fr ON fr.country = rc.country AND fr.token = rc.y)
+SELECT country, token, canon FROM rk WHERE r = 1 AND token <> canon"""
+
+
+@query(EQUIV)
 def token_equivalence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every consistent substitution counts here, however unlike its tokens: invented words have no abbreviations."""
     rec = records(spark, sf_dir)
     freq = rec.where("source = 1").select("country", F.explode(T.tokens(F.col("name_norm"))).alias("token")).groupBy("country", "token").agg(F.count(F.lit(1)).alias("n"))
-    return M.mine_token_maps(_labelled(rec), freq, min_count=1)
+    return M.mine_token_maps(_labelled(rec), freq, min_count=1, min_ratio=0.0)
 
 
 # ---- samples ----
@@ -486,9 +517,21 @@ def random_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.random_negatives(pos, rec.where("source <> 1"))
 
 
-@query()
+def _sql_disjoint(fractions: dict[str, float]) -> str:
+    """Samples one after another, each of what the earlier ones left."""
+    parts, left = [], "SELECT c_custkey, c_mktsegment FROM customer"
+    for k, (name, fraction) in enumerate(fractions.items()):
+        parts.append(f"l{k} AS ({left}), p{k} AS (SELECT c_custkey, c_mktsegment, '{name}' AS \"set\" FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY (c_custkey * 2654435761 + {k}) % 1000003, c_custkey) AS r, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM l{k}) WHERE r <= floor(n * {fraction} + 0.5))")
+        left = f"SELECT * FROM l{k} WHERE c_custkey NOT IN (SELECT c_custkey FROM p{k})"
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(len(parts)))
+
+
+SETS = {"model": 0.5, "calib": 0.3, "val": 0.3}
+
+
+@query(_sql_disjoint(SETS))
 def disjoint_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.disjoint(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"], "c_custkey", {"model": 0.5, "calib": 0.3, "val": 0.3})
+    return K.disjoint(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"], "c_custkey", SETS)
 
 
 # ---- models over labelled documents ----

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from weftmatch.llm import op03_jaccard, op05_quality, op06_decontam
-from weftmatch.llm.components import connected
+from weftmatch.operators.components import connected
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

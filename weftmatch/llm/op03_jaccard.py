@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import connected
 from .common import LOWER, column, hash_spans, hash_windows, lean, mix, prepare, slices, stored, text_bytes, unlike, words_of
-from .components import connected
 
 WIDTH, PERCENT = 4, 85
 #: Fingerprints whose frequency is known to all tasks; they only order shingles.

@@ -228,6 +228,19 @@ def test_decontamination(spark, docs, rows):
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter(i for i, t in rows if not brute_hits(t, items)[4])
 
 
+@pytest.mark.parametrize("rows_to_broadcast", [1_000_000, 0])
+def test_windows_with_one_other_word(spark, monkeypatch, rows_to_broadcast):
+    """The two rarest words of a window agree and a common one does not; words twice in a window; rows repeated, ids null."""
+    monkeypatch.setattr(op06_decontam, "BROADCAST_ROWS", rows_to_broadcast)
+    item = "the odd zebra and the the quagga of the and river the"
+    texts = [item, item.replace("river", "stone"), item.replace("of", "and"), "x " + item.replace("odd", "the") + " " + item, "zebra quagga the the", "the and the river of " * 4]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, item)] * 3 + [(None, item)] * 4
+    items = [(1, item), (2, "quagga the"), (3, "river")]
+    df, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in op06_decontam.contamination(df, table).collect())
+    assert got == Counter((i, *brute_hits(t, items)) for i, t in rows)
+
+
 def test_decontamination_edges(spark, docs, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in op06_decontam.contamination(docs, none).collect()} == {False}

@@ -1,13 +1,16 @@
 """Benchmark decontamination with a positional inverted index.
 
-1. Windows of consecutive words are cut from the items. Their words are counted in the whole corpus.
-2. Each window is known by its two rarest words. The postings (document, word, position) of these words are stored.
-3. The two lists of a window, each less the word's place in the window, are intersected: what both have is a start of the
-   window. Only at such starts is the whole window compared with the document.
+1. Windows of consecutive words are cut from the items.
+2. The postings (document, word, position) of all words of the windows are stored, in one pass over the texts without a
+   shuffle; the words are counted from them.
+3. The lists of a window, each less the word's place in the window, are intersected from the rarest word on: first those of
+   its two rarest words, then, at the few starts that both have, the lists of all others. What every list has is an
+   occurrence; the texts are not looked at again.
 4. Overlapping windows are united to the words that are hit; items are gathered for each document.
 
-All of it is DataFrame operations. Lists are never gathered in a row: hot words are joined to the windows they are known
-by, a table that is bounded by the benchmark, and broadcast only when it is counted to be small.
+All of it is DataFrame operations. Lists are never gathered in a row: a hot word's postings stay where they were read and are
+joined to the windows it is a rarest word of, a table that is bounded by the benchmark, and broadcast only when it is counted to
+be small.
 
 Defined results: a null or empty text has no words, no hits; an item without words has no windows; an item of fewer words
 than a window is one window; equal windows of several items count for each; documents with an equal id and text give equal
@@ -50,36 +53,30 @@ def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id",
     return cut.select("item_id", "w", "n", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("at")).select("item_id", F.slice("w", F.col("at"), F.col("n")).alias("window"))
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """term, n: how often each of the given terms occurs in all documents; summed up before the shuffle."""
-    return docs.select(F.explode(words(F.col(text_col))).alias("term")).join(_small(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-
-
 def build_index(keyed: DataFrame, terms: DataFrame) -> DataFrame:
-    """key, term, pos: the postings of the given terms in all documents."""
-    return keyed.select("key", F.posexplode(words(F.col("text"))).alias("pos", "term")).join(_small(terms), "term").select("key", "term", "pos").distinct()
+    """key, term, pos: the postings of the given terms in all documents; rows that agree in key repeat theirs."""
+    return keyed.select("key", F.posexplode(words(F.col("text"))).alias("pos", "term")).join(_small(terms), "term").select("key", "term", "pos")
 
 
 def exact_matches(keyed: DataFrame, windows: DataFrame) -> DataFrame:
     """key, wid, start, n: every occurrence of every window (wid, window) in the documents (key, text)."""
     slots = windows.select("wid", F.size("window").alias("n"), F.posexplode("window").alias("off", "term"))
-    terms = stored(slots.select("term").distinct(), "terms")
-    counts = stored(term_counts(keyed, terms), "counts")
+    index = stored(build_index(keyed, stored(slots.select("term").distinct(), "terms")), "postings")
+    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
     rank = Window.partitionBy("wid").orderBy("freq", "off")  # a window's words
-    ranked = slots.join(counts.withColumnRenamed("n", "freq"), "term", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
+    ranked = slots.join(counts, "term", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
     ranked = ranked.withColumn("rank", F.row_number().over(rank)).withColumn("rarest", F.min("freq").over(Window.partitionBy("wid")))
-    anchors = stored(ranked.where("rarest > 0 and rank <= 2").select("wid", "n", "term", "off", "rank"), "anchors")
+    ranked = stored(ranked.where("rarest > 0").select("wid", "n", "term", "off", "rank"), "ranked")
 
-    index = stored(build_index(keyed, anchors.select("term").distinct()), "postings")
-    lists = index.join(_small(anchors), "term").select("key", "wid", "n", "rank", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
+    lists = index.join(_small(ranked.where("rank <= 2")), "term").select("key", "wid", "n", "rank", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
     first, second = lists.where("rank = 1").drop("rank"), lists.where("rank = 2").select("key", "wid", "start")
-    starts = stored(first.where("n = 1").unionByName(first.where("n > 1").join(second, ["key", "wid", "start"], "left_semi").select(first.columns)), "starts")
+    starts = stored(first.where("n = 1").unionByName(first.where("n > 1").join(second, ["key", "wid", "start"], "left_semi").select(first.columns)).distinct(), "starts")
 
-    found = starts.select("key").distinct()
-    some = keyed.join(_small(found), "key", "left_semi").dropDuplicates(["key"])
-    by_doc = starts.groupBy("key").agg(F.collect_list(F.struct("start", "n", "wid")).alias("at"))  # no longer than the document's matches
-    said = some.join(by_doc, "key").select("key", words(F.col("text")).alias("w"), "at").select("key", F.explode(F.transform("at", lambda h: F.struct(h["start"].alias("start"), h["n"].alias("n"), h["wid"].alias("wid"), F.slice(F.col("w"), h["start"] + 1, h["n"]).alias("said")))).alias("h"))
-    return said.select("key", "h.*").join(_small(windows), "wid").where("said = window").select("key", "wid", "start", "n")
+    rest = ranked.where("rank > 2").select("wid", "term", "off")
+    wanted = stored(starts.join(_small(rest), "wid").select("key", "wid", "start", "n", "term", (F.col("start") + F.col("off")).alias("pos")), "wanted")
+    near = index.join(_small(wanted.select("key").distinct()), "key", "left_semi")
+    proved = near.join(_small(wanted), ["key", "term", "pos"]).groupBy("key", "wid", "start", "n").agg(F.count_distinct("pos").alias("met")).where("met = n - 2")
+    return starts.where("n <= 2").unionByName(proved.drop("met"))
 
 
 def proximity_matches(index: DataFrame, queries: DataFrame, slop: int) -> DataFrame:

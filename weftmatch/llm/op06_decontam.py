@@ -74,8 +74,9 @@ def exact_matches(keyed: DataFrame, windows: DataFrame) -> DataFrame:
 
     rest = ranked.where("rank > 2").select("wid", "term", "off")
     wanted = stored(starts.join(_small(rest), "wid").select("key", "wid", "start", "n", "term", (F.col("start") + F.col("off")).alias("pos")), "wanted")
+    # the places grow with the documents and are shuffled at every size, after postings of other documents have gone
     near = index.join(_small(wanted.select("key").distinct()), "key", "left_semi")
-    proved = near.join(_small(wanted), ["key", "term", "pos"]).groupBy("key", "wid", "start", "n").agg(F.count_distinct("pos").alias("met")).where("met = n - 2")
+    proved = near.join(wanted.hint("merge"), ["key", "term", "pos"]).groupBy("key", "wid", "start", "n").agg(F.count_distinct("pos").alias("met")).where("met = n - 2")
     return starts.where("n <= 2").unionByName(proved.drop("met"))
 
 

@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weftmatch.operators import blocking as B
@@ -144,3 +146,14 @@ def test_samples(spark):
     assert max(sizes) - min(sizes) <= 1
     parts = K.disjoint(df, ["k"], "id", {"a": 0.5, "b": 0.5})
     assert parts.select("id").distinct().count() == parts.count()
+
+
+def test_numbers_over_cells(spark):
+    """The places of rows by cells are those of one window for each group, with null groups and keys and ties."""
+    rows = [(g, k) for g in ("a", "b", None) for k in (*range(40), 7, 7, None)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    got = K.numbered(df, ["g"], F.floor(F.col("k") / 8), ["k"], "r", "n")
+    assert got.columns == ["g", "k", "r", "n"]
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("k"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert K.numbered(df.limit(0), ["g"], F.lit(0), ["k"], "r").count() == 0

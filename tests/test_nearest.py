@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from weftmatch.operators import blocking as B
+from weftmatch.operators import profile as R
 from weftmatch.operators.nearest import nearest
 
 
@@ -32,3 +33,10 @@ def test_a_record_given_twice_counts_once(spark):
     rec = spark.createDataFrame([("x", 1, 1, "a b a"), ("x", 1, 1, "a c"), ("x", 2, 2, "b")], "country string, code long, source int, t string")
     tok = B.field_counts(rec, {"n": F.split("t", " ")})
     assert sorted((r["code"], r["token"], r["tf"]) for r in tok.collect()) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (2, "b", 1)]
+
+
+def test_scripts_send_a_row_for_a_script(spark):
+    df = spark.createDataFrame([("aab1",), ("жa",), (None,), ("",), ("\n",)], "t string").repartition(1)
+    got = R.script_counts(df, "t")
+    assert {(r["script"], r["rows_with"], r["n_chars"]) for r in got.collect()} == {("LATIN", 2, 4), ("DIGIT", 1, 1), ("CYRILLIC", 1, 1), ("UNKNOWN", 1, 1)}
+    assert "explode" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,8 +104,19 @@ def source_mix(cards: DataFrame) -> DataFrame:
 
 
 def script_counts(df: DataFrame, text: str) -> DataFrame:
-    """script, rows_with, n_chars: characters are counted before their script is looked up, so that few reach a Python worker."""
-    base = df.select(F.monotonically_increasing_id().alias("row"), F.explode(F.filter(F.split(text, ""), lambda c: c != "")).alias("ch")).groupBy("row", "ch").agg(F.count(F.lit(1)).alias("n"))
-    chars = base.select("ch").distinct().withColumn("script", unicode_script(F.col("ch")))
-    by_row = base.join(chars, "ch").groupBy("row", "script").agg(F.sum("n").alias("n"))
-    return by_row.groupBy("script").agg(F.count(F.lit(1)).alias("rows_with"), F.sum("n").alias("n_chars"))
+    """script, rows_with, n_chars: texts are counted where they are read, so that a partition sends one row for each script."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: Counter[str] = Counter()
+        chars: Counter[str] = Counter()
+        for batch in batches:
+            for value in batch.column(0):
+                here: Counter[str] = Counter()
+                for ch, n in Counter(value.as_py() or "").items():
+                    here[unicode_script(ch)] += n
+                rows.update(here.keys())
+                chars.update(here)
+        yield pa.RecordBatch.from_arrays([pa.array(list(chars), pa.string()), pa.array([rows[k] for k in chars], pa.int64()), pa.array(list(chars.values()), pa.int64())], ["script", "rows_with", "n_chars"])
+
+    parts = df.select(text).mapInArrow(count, "script string, rows_with long, n_chars long")
+    return parts.groupBy("script").agg(F.sum("rows_with").alias("rows_with"), F.sum("n_chars").alias("n_chars"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftmatch.operators import blocking as B
 from weftmatch.operators import profile as R
-from weftmatch.operators.nearest import nearest
+from weftmatch.operators.nearest import ROUND, SLICE, _rounds, nearest
 
 
 def test_blocks_against_brute_force(spark):
@@ -29,6 +29,21 @@ def test_blocks_against_brute_force(spark):
     assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()  # pairs that share a token are no rows
 
 
+def test_rounds_copy_a_bounded_share():
+    countries = [("en", 9_000, 21_000), ("de", 2_000, 5_000), *((f"c{i}", 3, 5) for i in range(50))]
+    rounds, total = _rounds(countries, 100), sum(q + c for _, q, c in countries)
+    assert len(rounds) > 10
+    met = []
+    for part in rounds:
+        size = {c: (q, e) for c, q, e in countries}
+        assert sum((high - low) * (slices * size[c][1] / n + size[c][0]) for c, n, slices, low, high, _ in part) <= ROUND * total
+        met += [(c, b) for c, _, _, low, high, _ in part for b in range(low, high)]
+        own = [p + x for c, n, slices, low, high, p in part for x in range((high - low) * slices) if n * slices > 1]
+        assert len(own) == len(set(own))  # a large country's tasks are its own
+    assert len(met) == len(set(met)) and set(met) == {(c, b) for c, _, e in countries for b in range(max(1, -(-e // 100)))}
+    assert SLICE * 100 >= max(q / next(s for c, _, s, *_ in rounds[0] if c == "en") for c, q, _ in countries if c == "en")
+
+
 def test_a_record_given_twice_counts_once(spark):
     rec = spark.createDataFrame([("x", 1, 1, "a b a"), ("x", 1, 1, "a c"), ("x", 2, 2, "b")], "country string, code long, source int, t string")
     tok = B.field_counts(rec, {"n": F.split("t", " ")})

@@ -52,3 +52,18 @@ def test_fuzzy_rule_scores_few_addresses(spark, monkeypatch):
     monkeypatch.setattr(L, "_addresses", lambda pairs, rec: asked.append(pairs.count()) or whole(pairs, rec))
     assert sorted(map(tuple, L.fuzzy_rule(spark, SF).collect())) == want and want
     assert asked[0] < pred.count()
+
+
+def test_pair_features_carry_few_texts(spark, monkeypatch):
+    """Raw texts and token arrays of addresses don't travel beside pairs, and numbers are summed up before texts join them."""
+    rec = spark.createDataFrame([("X", i, s, "a b", "1 c, d", "a b", t) for i, s, t in ((1, 1, "1 c d"), (2, 2, "1 c d"), (2, 2, "c d"), (3, 3, ""))], "country string, code long, source int, name_raw string, addr_raw string, name_norm string, addr_norm string")
+    attrs = X.attributes(rec)
+    assert attrs.count() == 4  # two records of one code stay two
+    kept = {}
+    real = X.stored
+    monkeypatch.setattr(X, "stored", lambda df, name: kept.setdefault(name, real(df, name)))
+    cands = spark.createDataFrame([(1, 3, 0, 0, 0, 0, 4)], "q long, c long, " + ", ".join(f"rank_{b} int" for b in ("fielded", "addr", "name_char", "name_word")) + ", n_blocks int")
+    row = X.build(cands, attrs).collect()[0]
+    assert not {"addr_raw", "name_raw", "addr_t"} & set(kept["attributes"].columns)
+    assert not any(f.dataType.typeName() in ("string", "struct") for f in kept["sums"].schema)
+    assert row["b_addr_empty"] == 1 and row["addr_ntok_a"] == 3 and row["addr_common"] == 0 and row["comp_common"] == 2

@@ -59,6 +59,7 @@ def test_pair_features_carry_few_texts(spark, monkeypatch):
     rec = spark.createDataFrame([("X", i, s, "a b", "1 c, d", "a b", t) for i, s, t in ((1, 1, "1 c d"), (2, 2, "1 c d"), (2, 2, "c d"), (3, 3, ""))], "country string, code long, source int, name_raw string, addr_raw string, name_norm string, addr_norm string")
     attrs = X.attributes(rec)
     assert attrs.count() == 4  # two records of one code stay two
+    assert "Join" not in plan(attrs) and "Aggregate" not in plan(attrs)  # whole records aren't shuffled
     kept = {}
     real = X.stored
     monkeypatch.setattr(X, "stored", lambda df, name: kept.setdefault(name, real(df, name)))

@@ -1,6 +1,7 @@
 """What travels beside candidate pairs: texts are read once, and rows of pairs stay small."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,22 @@ def test_pair_features_carry_few_texts(spark, monkeypatch):
     assert not {"addr_raw", "name_raw", "addr_t"} & set(kept["attributes"].columns)
     assert not any(f.dataType.typeName() in ("string", "struct") for f in kept["sums"].schema)
     assert row["b_addr_empty"] == 1 and row["addr_ntok_a"] == 3 and row["addr_common"] == 0 and row["comp_common"] == 2
+
+
+def test_scores_equal_their_definitions(spark):
+    """The Java function gives what similarity.py does, without a Python worker."""
+    r, rows = random.Random(7), [(None, "a"), ("a", None), ("", ""), ("", "a")]
+    for letters in ("ab ", "abcdefghij0123    ", "abé😀～ \xa0"):
+        for most in (3, 12, 80, 600):
+            for _ in range(12):
+                x, y = ("".join(r.choices(letters, k=r.randint(0, most))) for _ in range(2))
+                rows += [(x, y), (x, x[: len(x) // 3] + y[:2] + x[len(x) // 2 :])]
+    df = spark.createDataFrame(rows, "x string, y string")
+    side = lambda c: F.struct(F.col(c).alias("name_norm"), F.col(c).alias("name_core"), F.col(c).alias("addr_norm"))
+    got = df.select("x", "y", side("x").alias("a"), side("y").alias("b")).withColumn("s", X.scores(spark, "a", "b"))
+    assert "Python" not in plan(got)
+    by = {"ratio": S.ratio, "jw": S.jaro_winkler, "dl": S.dl_similarity, "tsort": S.token_sort_ratio, "tset": S.token_set_ratio, "partial": S.partial_ratio}
+    by["common"] = lambda a, b: float(len(set(a.replace("\xa0", "_").split()) & set(b.replace("\xa0", "_").split())))
+    for row in got.collect():
+        none = row["x"] is None or row["y"] is None
+        assert row["s"] == [None if none else by[n.split("_")[1]](row["x"], row["y"]) for n in X.SCORES], row[:2]

@@ -88,3 +88,14 @@ def test_scores_equal_their_definitions(spark):
     for row in got.collect():
         none = row["x"] is None or row["y"] is None
         assert row["s"] == [None if none else by[n.split("_")[1]](row["x"], row["y"]) for n in X.SCORES], row[:2]
+
+
+def test_pairs_meet_sides_in_rounds(spark):
+    """What travels beside pairs is bounded by the records: each candidate's pairs are in one round, none is lost or doubled."""
+    pairs = spark.createDataFrame([(q, c) for q in range(5) for c in range(100, 120)], "q long, c long")
+    sides = spark.createDataFrame([(i, (f"t{i}",)) for i in [*range(4), *range(100, 120)]], "code long, side struct<text:string>")
+    sizes = []
+    for how, n in (("inner", 80), ("left", 100)):
+        got = X._rounds(pairs, X.stored(sides, "sides"), 4, how, "round", lambda d: sizes.append(d.count()) or d.select("q", "c", F.col("a.text").alias("x"), F.col("b.text").alias("y")))
+        assert sorted(map(tuple, got.collect())) == [(q, c, f"t{q}" if q < 4 else None, f"t{c}") for q in range(n // 20) for c in range(100, 120)]
+    assert len(sizes) == 8 and max(sizes) < 80
